@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.common import table
-from demesne.operators import changefeed, orphans
+from demesne.operators import changefeed, orphans, spatial
 from demesne.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -79,3 +79,44 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions and whether they lie below the contiguous committed watermark."""
     return changefeed.watermark(changefeed.transactions(table(spark, sf_dir, "leasechanges")))
+
+
+# ---------------------------------------------------------------- P2
+
+_P2_SQL = """
+WITH raw AS (
+  SELECT _id AS id, loc.coordinates[1] AS a, loc.coordinates[2] AS b, len(loc.coordinates) AS n, lon AS c, lat AS d FROM leasesext),
+pos AS (
+  SELECT DISTINCT id,
+    CASE WHEN n = 2 AND a BETWEEN -8 AND 2 AND b BETWEEN 49 AND 61 THEN a WHEN n = 2 AND b BETWEEN -8 AND 2 AND a BETWEEN 49 AND 61 THEN b
+         WHEN c BETWEEN -8 AND 2 AND d BETWEEN 49 AND 61 THEN c WHEN d BETWEEN -8 AND 2 AND c BETWEEN 49 AND 61 THEN d END AS lon,
+    CASE WHEN n = 2 AND a BETWEEN -8 AND 2 AND b BETWEEN 49 AND 61 THEN b WHEN n = 2 AND b BETWEEN -8 AND 2 AND a BETWEEN 49 AND 61 THEN a
+         WHEN c BETWEEN -8 AND 2 AND d BETWEEN 49 AND 61 THEN d WHEN d BETWEEN -8 AND 2 AND c BETWEEN 49 AND 61 THEN c END AS lat
+  FROM raw),
+p AS (SELECT id, lon, lat, CAST(floor(lat / 0.0002) AS BIGINT) AS gy FROM pos WHERE lon IS NOT NULL),
+near AS (
+  SELECT DISTINCT 'near' AS rel, p.id AS id_a, q.id AS id_b
+  FROM p JOIN (SELECT id, lon, lat, gy + k AS gy FROM p, (VALUES (-1), (0), (1)) v(k)) q USING (gy)
+  WHERE p.id < q.id AND abs(p.lon - q.lon) < 0.0005
+    AND 2 * 6371008.8 * asin(sqrt(pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2))) <= 20),
+g AS (SELECT lad_code, CAST(geometry AS JSON) AS j FROM districts),
+polys AS (
+  SELECT lad_code, json_extract(j, '$.coordinates[*]') AS rings FROM g WHERE j->>'$.type' = 'Polygon'
+  UNION ALL SELECT lad_code, json_extract(x, '$[*]') FROM (SELECT lad_code, unnest(json_extract(j, '$.coordinates[*]')) AS x FROM g WHERE j->>'$.type' = 'MultiPolygon')),
+rings AS (SELECT lad_code, unnest(rings) AS r FROM polys),
+pts AS (SELECT lad_code, CAST(r AS DOUBLE[][]) AS v FROM rings),
+edges AS (SELECT lad_code, v[i][1] AS x1, v[i][2] AS y1, v[i % len(v) + 1][1] AS x2, v[i % len(v) + 1][2] AS y2 FROM (SELECT lad_code, v, unnest(range(1, len(v) + 1)) AS i FROM pts)),
+places AS (SELECT DISTINCT lon, lat FROM p),
+crossed AS (
+  SELECT lon, lat, lad_code FROM places JOIN edges ON (y1 > lat) <> (y2 > lat) AND lon < x1 + (lat - y1) * (x2 - x1) / (y2 - y1)
+  GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)
+SELECT * FROM near UNION ALL SELECT DISTINCT 'in', p.id, c.lad_code FROM p JOIN crossed c USING (lon, lat)
+"""
+
+
+@REGISTRY.add("p2_found", _P2_SQL)
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ext = table(spark, sf_dir, "leasesext")
+    near = spatial.near_pairs(ext, 20.0).select(F.lit("near").alias("rel"), "id_a", "id_b")
+    held = spatial.containing_regions(ext, table(spark, sf_dir, "districts"), "lad_code")
+    return near.unionAll(held.select(F.lit("in").alias("rel"), F.col("id").alias("id_a"), F.col("region").alias("id_b")))
