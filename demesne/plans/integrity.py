@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.common import table
 from demesne.operators import changefeed, orphans, spatial
+from demesne.operators.profile import ColumnRule, base_aggregates, findings, profile_loads, value_counts
 from demesne.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -120,3 +123,68 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = spatial.near_pairs(ext, 20.0).select(F.lit("near").alias("rel"), "id_a", "id_b")
     held = spatial.containing_regions(ext, table(spark, sf_dir, "districts"), "lad_code")
     return near.unionAll(held.select(F.lit("in").alias("rel"), F.col("id").alias("id_a"), F.col("region").alias("id_b")))
+
+
+# ---------------------------------------------------------------- P4
+
+_YEAR = 365.25
+_DAYS = (lambda d: (datetime.date.fromisoformat(d) - datetime.date(1970, 1, 1)).days)
+LEASE_RULES = [
+    ColumnRule("st", "date", _DAYS("1700-01-01"), _DAYS("2025-12-31"), 0.08, null_shift=0.18, top_shift=0.22, median_shift=40 * _YEAR),
+    ColumnRule("exp", "date", _DAYS("1750-01-01"), _DAYS("3999-12-31"), 0.08, null_shift=0.18, top_shift=0.22, median_shift=300 * _YEAR),
+    ColumnRule("ty", "number", 1, 3000, 0.08, null_shift=0.18, top_shift=0.22, median_shift=300),
+    ColumnRule("cl", "text", pattern="^[A-Z][A-Z0-9]{0,5}$", max_violating=0.10, null_shift=0.18, top_shift=0.22),
+]
+
+_P4_BASE = r"""
+WITH v AS (
+  SELECT strftime(loaded_at, '%Y-%m') AS version, c.*
+  FROM leasesext, LATERAL (
+    SELECT 'st' AS column_name, CAST(st AS VARCHAR) AS value, CAST(date_diff('day', DATE '1970-01-01', st) AS DOUBLE) AS number
+    UNION ALL SELECT 'exp', CAST(exp AS VARCHAR), CAST(date_diff('day', DATE '1970-01-01', exp) AS DOUBLE)
+    UNION ALL SELECT 'ty', CAST(ty AS VARCHAR), CAST(ty AS DOUBLE)
+    UNION ALL SELECT 'cl', nullif(trim(cl), ''), NULL) c
+  WHERE loaded_at IS NOT NULL),
+t AS (SELECT version, column_name, max(n) AS n_top FROM (SELECT version, column_name, value, count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY ALL) GROUP BY ALL),
+b AS (
+  SELECT version, column_name, count(*) AS n_rows, count(*) - count(value) AS n_null, count(DISTINCT value) AS n_distinct,
+         median(number) AS median, min(number) AS low, max(number) AS high,
+         count(*) FILTER (column_name = 'st' AND (value < '1700-01-01' OR value > '2025-12-31') OR column_name = 'exp' AND (value < '1750-01-01' OR value > '3999-12-31') OR column_name = 'ty' AND (number < 1 OR number > 3000)) AS n_outside,
+         count(*) FILTER (column_name = 'cl' AND NOT regexp_full_match(value, '[A-Z][A-Z0-9]{0,5}')) AS n_violating
+  FROM v GROUP BY ALL),
+p AS (SELECT b.*, t.n_top, n_null / n_rows AS null_share, n_top / (n_rows - n_null) AS top_share, n_outside / (n_rows - n_null) AS outside_share, n_violating / (n_rows - n_null) AS violating_share FROM b LEFT JOIN t USING (version, column_name)),
+u AS (SELECT column_name, median(null_share) AS u_null, median(top_share) AS u_top, median(median) AS u_median FROM p GROUP BY 1)
+"""
+_P4_FOUND = _P4_BASE + """
+SELECT version, column_name, f.finding FROM p JOIN u USING (column_name), LATERAL (
+  SELECT 'nulls' AS finding, abs(null_share - u_null) > 0.18 AS hit
+  UNION ALL SELECT 'top', abs(top_share - u_top) > 0.22
+  UNION ALL SELECT 'median', abs(median - u_median) > CASE column_name WHEN 'st' THEN 40 * 365.25 WHEN 'exp' THEN 300 * 365.25 WHEN 'ty' THEN 300 END
+  UNION ALL SELECT 'range', outside_share > 0.08
+  UNION ALL SELECT 'pattern', violating_share > 0.10) f
+WHERE f.hit
+"""
+
+
+def _lease_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_loads(table(spark, sf_dir, "leasesext"), F.date_format("loaded_at", "yyyy-MM"), F.col("_id"), LEASE_RULES)
+
+
+@REGISTRY.add("p4_found", _P4_FOUND)
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return findings(_lease_profile(spark, sf_dir))
+
+
+@REGISTRY.add("p4_profile")
+def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole profile with the classifier's discrimination; its AUCs have no SQL form."""
+    return _lease_profile(spark, sf_dir)
+
+
+@REGISTRY.add(
+    "p4_base_aggregates",
+    _P4_BASE + "SELECT version, column_name, n_rows, n_null, n_distinct, n_top, low, high, median, n_outside, n_violating FROM p",
+)
+def p4_base_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = value_counts(table(spark, sf_dir, "leasesext"), F.date_format("loaded_at", "yyyy-MM"), LEASE_RULES)
+    return base_aggregates(counts, LEASE_RULES).select("version", "column_name", "n_rows", "n_null", "n_distinct", "n_top", "low", "high", "median", "n_outside", "n_violating")
