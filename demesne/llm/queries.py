@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.common import table
-from demesne.llm import contamination
+from demesne.llm import contamination, language
 from demesne.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -23,3 +23,14 @@ def p7_leak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per item the number of documents that hold it and how well."""
     found = contamination.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evalitems"))
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.round(F.max("covered"), 6).alias("most_covered"))
+
+
+@REGISTRY.add("p8_found")
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.corrections(language.identify(table(spark, sf_dir, "documents")))
+
+
+@REGISTRY.add("p8_identified")
+def p8_identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and segment with its language and confidence."""
+    return language.identify(table(spark, sf_dir, "documents")).withColumn("confidence", F.round("confidence", 6))
