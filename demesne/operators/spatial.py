@@ -34,6 +34,8 @@ from demesne.common import cut, parallelism
 
 EARTH_M = 6_371_008.8
 BITS = 26
+#: Runs of codes per shuffle partition, so that hashing spreads them evenly.
+PARTS_PER_TASK = 4
 METRES_PER_DEGREE = math.pi * EARTH_M / 180
 
 
@@ -244,7 +246,8 @@ def _near(radius_m: float, slice_rows: int):
 
 
 def _sorted_parts(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange(parallelism(df.sparkSession), "part").sortWithinPartitions("part", "is_range", "lo")
+    """The rows of a part in one task, sorted; hashing the part numbers needs no sampling pass over the covers."""
+    return df.repartition(parallelism(df.sparkSession), "part").sortWithinPartitions("part", "is_range", "lo")
 
 
 def _parts_of(cuts: np.ndarray, parts: int):
@@ -264,7 +267,7 @@ def coded_positions(records: DataFrame, where: Column | None = None, id_column:
 
 def near_positions(places: DataFrame, radius_m: float, parts: int | None = None, slice_rows: int = 500_000) -> DataFrame:
     """(lon_a, lat_a, lon_b, lat_b): distinct positions at most radius_m apart, each pair once."""
-    parts = parts or parallelism(places.sparkSession)
+    parts = parts or PARTS_PER_TASK * parallelism(places.sparkSession)
     coded = places.withColumn("code", morton_code("lon", "lat"))
     cuts = code_boundaries(coded, parts)
 
@@ -303,7 +306,7 @@ def containing_regions(records: DataFrame, regions: DataFrame, region_id: str, g
     """(id, region), distinct: the regions whose area, holes excepted, holds a position of the record."""
     members = coded_positions(records, where, id_column)
     places = cut(members.select("lon", "lat").distinct().withColumn("code", morton_code("lon", "lat")))
-    parts = parallelism(records.sparkSession)
+    parts = PARTS_PER_TASK * parallelism(records.sparkSession)
     cuts = code_boundaries(places, parts)
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -317,7 +320,7 @@ def containing_regions(records: DataFrame, regions: DataFrame, region_id: str, g
                     yield pd.DataFrame(rows, columns=["part", "is_range", "lo", "hi", "lon", "lat", "region", "edges"])
 
     schema = "part int, is_range boolean, lo long, hi long, lon double, lat double, region string, edges array<double>"
-    ranges = regions.select(F.col(region_id).cast("string").alias("region"), F.col(geometry).alias("shape")).filter("region IS NOT NULL AND shape IS NOT NULL").repartition(parts, "region").mapInPandas(cover, schema)
+    ranges = regions.select(F.col(region_id).cast("string").alias("region"), F.col(geometry).alias("shape")).filter("region IS NOT NULL AND shape IS NOT NULL").repartition(parallelism(records.sparkSession), "region").mapInPandas(cover, schema)
     part = _parts_of(cuts, parts)("code", "code")[0]
     points = places.select(part.alias("part"), F.lit(False).alias("is_range"), F.col("code").alias("lo"), F.col("code").alias("hi"), "lon", "lat", F.lit(None).cast("string").alias("region"), F.lit(None).cast("array<double>").alias("edges"))
 
