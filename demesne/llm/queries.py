@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.common import table
-from demesne.llm import contamination, language
+from demesne.llm import addresses, contamination, language, packing
 from demesne.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -34,3 +34,19 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_identified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and segment with its language and confidence."""
     return language.identify(table(spark, sf_dir, "documents")).withColumn("confidence", F.round("confidence", 6))
+
+
+@REGISTRY.add("p6_packed")
+def p6_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@REGISTRY.add("p6_fill_report")
+def p6_fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(packing.packed(table(spark, sf_dir, "documents")), 2048)
+
+
+@REGISTRY.add("p3_found")
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leases = table(spark, sf_dir, "leases").filter("uprn IS NULL")
+    return addresses.link(leases, table(spark, sf_dir, "ab_plus")).select("lease_id", "uprn").distinct()
