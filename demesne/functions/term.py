@@ -13,6 +13,7 @@ An expiry beyond the year 9999 ends the search with status 'overflow'. NULL and
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +64,26 @@ REPAIRS: list[tuple[str, str, bool]] = [
 ]
 
 
+#: What a lower-case text must hold for some repair to apply: one of the words, or a match.
+_DUE_WORDS = (
+    "residue", "midnight", "and and", "hundred and", "¼", "½", "¾", " of ", "including", " and expiring", "beginning in", "commences", "expires", ":", "januaryu", "jnuary",
+    "feburary", "febuary", "septmber", "novmber", "decmber", "and to and", "therein", "as the lease", ")for", "hereof", "thereof",
+)
+_DUE = r"\d(?:st|nd|rd|th)\b|\b(?:les|rom|frm|form)\b|from\d|\b31[/. ]"
+
+
 def normalise(term: Column) -> Column:
     t = F.regexp_replace(term, r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+", " ")
     t = F.translate(F.trim(t), "´~¨,?", "")
+    # most texts hold nothing that any repair looks for, and skip them all
+    low = F.lower(t)
+    due = low.rlike(_DUE)
+    for word in _DUE_WORDS:
+        due |= low.contains(word)
+    fixed = t
     for pattern, replacement, loose in REPAIRS:
-        t = F.regexp_replace(t, ("(?i)" if loose else "") + pattern, replacement)
-    return F.trim(t)
+        fixed = F.regexp_replace(fixed, ("(?i)" if loose else "") + pattern, replacement)
+    return F.trim(F.when(due, fixed).otherwise(t))
 
 
 # ---------------------------------------------------------------- grammar
@@ -322,21 +337,26 @@ def _matches(term: Column, rules: list[Rule]) -> Column:
     return F.transform(hit, lambda s: F.split(s, SEP))
 
 
-def with_parsed_term(df: DataFrame, term: str = "term", dol: str = "dol", out: str = "parsed", day_convention: str = "as_coded") -> DataFrame:
-    """df with `out`: struct<start, expiry, tenure, pattern, status>, NULL where the term says nothing.
-
-    day_convention 'exclusive' removes no default day from computed expiries.
-    """
-    keep = df.columns
-    day = {"as_coded": 1, "exclusive": 0}[day_convention]
+@lru_cache(4)
+def _parsed(day: int) -> Column:
+    """The result over the columns _t1, _t2 and _dol; building the expression takes longer than planning it."""
 
     def first(term: str, rules: list[Rule]) -> Column:
         built = _let(_matches(F.col(term), rules), _read(F.col("_dol"), day), _span, _place, _finish)
         return F.try_element_at(F.filter(built, lambda s: s.isNotNull()), F.lit(1))
 
-    t = df.withColumn("_dol", parse_dol(F.col(dol))).withColumn("_t1", F.nullif(normalise(F.col(term)), F.lit("")))
-    bare = F.trim(F.regexp_replace("_t1", r"\s*\([^)]*\)", ""))
-    t = t.withColumn("_t2", F.when((bare != F.col("_t1")) & (bare != ""), normalise(bare)))
     # coalesce stops at the first group that settles the term; most are settled by the first
-    parsed = F.coalesce(first("_t1", RULES[:9]), first("_t1", RULES[9:18]), F.when(F.col("_dol").isNotNull(), first("_t1", RULES[18:])), F.when(F.col("_t2").isNotNull(), first("_t2", RULES)))
-    return t.withColumn(out, parsed).select(*keep, out)
+    return F.coalesce(first("_t1", RULES[:9]), first("_t1", RULES[9:18]), F.when(F.col("_dol").isNotNull(), first("_t1", RULES[18:])), F.when(F.col("_t2").isNotNull(), first("_t2", RULES)))
+
+
+def with_parsed_term(df: DataFrame, term: str = "term", dol: str = "dol", out: str = "parsed", day_convention: str = "as_coded") -> DataFrame:
+    """df with `out`: struct<start, expiry, tenure, pattern, status>, NULL where the term says nothing.
+
+    day_convention 'exclusive' removes no default day from computed expiries.
+    """
+    keep = df.columns
+    t = df.withColumn("_dol", parse_dol(F.col(dol))).withColumn("_t0", F.trim(F.regexp_replace(F.col(term), r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+", " ")))
+    t = t.withColumn("_t1", F.nullif(normalise(F.col("_t0")), F.lit("")))
+    t = t.withColumn("_bare", F.trim(F.regexp_replace("_t1", r"\s*\([^)]*\)", "")))
+    t = t.withColumn("_t2", F.when((F.col("_bare") != F.col("_t1")) & (F.col("_bare") != ""), normalise(F.col("_bare"))))
+    return t.withColumn(out, _parsed({"as_coded": 1, "exclusive": 0}[day_convention])).select(*keep, out)
