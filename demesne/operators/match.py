@@ -15,7 +15,7 @@ def expanded(gazetteer: DataFrame, id_column: str = "id") -> DataFrame:
     base = gazetteer.withColumn("origin", F.lit("base"))
     low, high = (F.split_part("building_name", F.lit("-"), F.lit(k)).try_cast("int") for k in (1, 2))
     ranged = gazetteer.filter(F.col("building_name").rlike("^[0-9]+-[0-9]+$") & (low <= high))
-    numbers = ranged.withColumn("building_number", F.explode(F.sequence(low, high)).cast("string")).withColumn("building_name", F.lit(None).cast("string")).withColumn("origin", F.lit("range"))
+    numbers = ranged.withColumn("building_number", F.explode(F.sequence(low, high))).withColumn("building_number", F.col("building_number").cast("string")).withColumn("building_name", F.lit(None).cast("string")).withColumn("origin", F.lit("range"))
     plain = gazetteer.filter(F.col("thoroughfare").contains("ST.")).withColumn("thoroughfare", F.replace("thoroughfare", F.lit("ST."), F.lit("ST"))).withColumn("origin", F.lit("st"))
     return reduce(DataFrame.unionByName, [base, numbers.select(base.columns), plain.select(base.columns)])
 

@@ -86,7 +86,7 @@ def p5_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P2
 
-_P2_SQL = """
+P2_CTE = """
 WITH raw AS (
   SELECT _id AS id, loc.coordinates[1] AS a, loc.coordinates[2] AS b, len(loc.coordinates) AS n, lon AS c, lat AS d FROM leasesext),
 pos AS (
@@ -112,7 +112,8 @@ edges AS (SELECT lad_code, v[i][1] AS x1, v[i][2] AS y1, v[i % len(v) + 1][1] AS
 places AS (SELECT DISTINCT lon, lat FROM p),
 crossed AS (
   SELECT lon, lat, lad_code FROM places JOIN edges ON (y1 > lat) <> (y2 > lat) AND lon < x1 + (lat - y1) * (x2 - x1) / (y2 - y1)
-  GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)
+  GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)"""
+_P2_SQL = P2_CTE + """
 SELECT * FROM near UNION ALL SELECT DISTINCT 'in', p.id, c.lad_code FROM p JOIN crossed c USING (lon, lat)
 """
 
