@@ -359,4 +359,6 @@ def with_parsed_term(df: DataFrame, term: str = "term", dol: str = "dol", out: s
     t = t.withColumn("_t1", F.nullif(normalise(F.col("_t0")), F.lit("")))
     t = t.withColumn("_bare", F.trim(F.regexp_replace("_t1", r"\s*\([^)]*\)", "")))
     t = t.withColumn("_t2", F.when((F.col("_bare") != F.col("_t1")) & (F.col("_bare") != ""), normalise(F.col("_bare"))))
-    return t.withColumn(out, _parsed({"as_coded": 1, "exclusive": 0}[day_convention])).select(*keep, out)
+    # rand() keeps the optimizer from pushing filters on the result below it, which would copy this expression many times
+    parsed = F.when(F.rand(0) >= 0, _parsed({"as_coded": 1, "exclusive": 0}[day_convention]))
+    return t.withColumn(out, parsed).select(*keep, out)

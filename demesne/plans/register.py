@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demesne.common import table
+from demesne.common import cut, table
 from demesne.functions import dates, geo, text
 from demesne.functions.term import with_parsed_term
 from demesne.functions.validate import findings, is_valid
@@ -26,9 +26,9 @@ def _ref():
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """At least one task per core for work that costs far more than reading."""
+    """At least one task per core for work that costs far more than reading; a split input keeps its splits."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+    return df if len(df.inputFiles()) >= n else df.repartition(n)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -258,8 +258,13 @@ months AS (SELECT unnest(['january','february','march','april','may','june','jul
 """
 
 
+def _parsed(df: DataFrame) -> DataFrame:
+    """df with its terms parsed, written once: no later filter is pushed into the cascade, where it would be copied many times."""
+    return cut(with_parsed_term(_spread(df)))
+
+
 def _terms(spark, d):
-    return with_parsed_term(_spread(_t(spark, d, "leases").select("term", "dol").distinct()))
+    return _parsed(_t(spark, d, "leases").select("term", "dol").distinct())
 
 
 def _day(g1: int, g2: int, g3: int, pattern: str, months: str) -> str:
@@ -267,7 +272,8 @@ def _day(g1: int, g2: int, g3: int, pattern: str, months: str) -> str:
     return f"try_cast({part(g3)} || '-' || {months}.k || '-' || {part(g1)} AS DATE)"
 
 
-_P3A = r"(?i)^(\d{1,4})\s*years from (?:and including )?(\d{1,2}) ([A-Za-z]+) (\d{4})$"
+_MONTH = "january|february|march|april|may|june|july|august|september|october|november|december"
+_P3A = rf"(?i)^(\d{{1,4}})\s*years from (?:and including )?(\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
 
 
 @add(
@@ -280,7 +286,7 @@ def term_years_from_date(spark, d):
     return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter(shape & (F.col("parsed.pattern") == "3a")).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
 
 
-_P4B = r"(?i)^commencing on (\d{1,2}) ([A-Za-z]+) (\d{4}) for a term of (\d+) years$"
+_P4B = rf"(?i)^commencing on (\d{{1,2}}) ({_MONTH}) (\d{{4}}) for a term of (\d+) years$"
 
 
 @add(
@@ -292,7 +298,7 @@ def term_commencing(spark, d):
     return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter((F.col("parsed.pattern") == "4b") & F.regexp_replace(F.regexp_replace(F.trim("term"), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"\s+", " ").rlike(_P4B)).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
 
 
-_P4D = r"(?i)^(\d+) years expiring on (\d{1,2}) ([A-Za-z]+) (\d{4})$"
+_P4D = rf"(?i)^(\d+) years expiring on (\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
 
 
 @add(
@@ -303,7 +309,7 @@ def term_expiring(spark, d):
     return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter((F.col("parsed.pattern") == "4d") & F.regexp_replace(F.regexp_replace(F.trim("term"), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"\s+", " ").rlike(_P4D)).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
 
 
-_P2A = r"(?i)^from (\d{1,2}) ([A-Za-z]+) (\d{4}) to (\d{1,2}) ([A-Za-z]+) (\d{4})$"
+_P2A = rf"(?i)^from (\d{{1,2}}) ({_MONTH}) (\d{{4}}) to (\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
 
 
 @add(
@@ -319,7 +325,7 @@ def term_date_range(spark, d):
 @add("term_parsed")
 def term_parsed(spark, d):
     """Every lease's term with its dates, the rule that read it, and its validation findings (no SQL form)."""
-    p = with_parsed_term(_spread(_t(spark, d, "leases").select("_id", "term", "dol")))
+    p = _parsed(_t(spark, d, "leases").select("_id", "term", "dol"))
     return p.withColumn("findings", findings(F.col("parsed.start"), F.col("parsed.expiry"), F.col("parsed.tenure"), _ref())).select("_id", "parsed.*", is_valid(F.col("findings")).alias("valid"), F.col("findings.code").alias("codes"))
 
 
@@ -333,7 +339,7 @@ def term_run_statistics(spark, d):
 @add("term_model_residue")
 def term_model_residue(spark, d):
     """Terms the rules leave open, through the model hook with a stub that reads the first two years it sees."""
-    p = with_parsed_term(_spread(_t(spark, d, "leases").select("_id", "term", "dol"))).filter("parsed IS NULL AND trim(term) <> ''")
+    p = _parsed(_t(spark, d, "leases").select("_id", "term", "dol")).filter("parsed IS NULL AND trim(term) <> ''")
 
     def stub(prompts: list[str]) -> list[str]:
         import re
@@ -367,7 +373,7 @@ def fn_house_numbers(spark, d):
 
 @add(
     "fn_char_difference",
-    "WITH p AS (SELECT DISTINCT rpd, apd FROM leases WHERE rpd IS NOT NULL AND apd IS NOT NULL), q AS (SELECT rpd, apd, trim(rpd) AS a, upper(trim(apd)) AS b FROM p) SELECT rpd, apd, CASE WHEN a = b THEN 0 ELSE len(list_filter(range(1, greatest(length(a), length(b)) + 1), i -> substr(a, i, 1) <> substr(b, i, 1))) END AS difference FROM q",
+    "WITH p AS (SELECT DISTINCT rpd, apd FROM leases WHERE rpd IS NOT NULL AND apd IS NOT NULL), q AS (SELECT rpd, apd, trim(rpd) AS a, upper(trim(apd)) AS b FROM p) SELECT rpd, apd, CASE WHEN a = b THEN 0 ELSE len(list_filter(range(1, greatest(length(a), length(b)) + 1), lambda i: substr(a, i, 1) <> substr(b, i, 1))) END AS difference FROM q",
 )
 def fn_char_difference(spark, d):
     p = _t(spark, d, "leases").filter("rpd IS NOT NULL AND apd IS NOT NULL").select("rpd", "apd").distinct()
@@ -567,7 +573,7 @@ def agg_length_quantiles(spark, d):
 @add("agg_field_accuracy")
 def agg_field_accuracy(spark, d):
     """How often the term read from a lease equals the enriched record's dates and tenure (no SQL form)."""
-    p = with_parsed_term(_spread(_t(spark, d, "leases").select("_id", "term", "dol").dropDuplicates(["_id"]))).select(F.col("_id").alias("lid"), "parsed")
+    p = _parsed(_t(spark, d, "leases").select("_id", "term", "dol").dropDuplicates(["_id"])).select(F.col("_id").alias("lid"), "parsed")
     j = _ext(spark, d).join(p, "lid").filter("parsed IS NOT NULL")
     return j.agg(F.count("*").alias("n"), *[F.round(F.avg((F.col(a) == F.col(f"parsed.{b}")).cast("double")), 6).alias(f"{b}_accuracy") for a, b in (("st", "start"), ("exp", "expiry"), ("ty", "tenure"))])
 
@@ -604,7 +610,7 @@ def _deletes(spark, d):
     return first
 
 
-@add("dml_delete_candidates", f"WITH {_FIRST}, x AS (SELECT change_id AS delete_id, coalesce(trim(unique_identifier), '') AS uid, coalesce(trim(reg_order), '') AS ro, coalesce(trim(associated_property_description_id), '') AS apid FROM f WHERE upper(trim(change_indicator)) = 'D'), l AS (SELECT DISTINCT _id, uid, CAST(ro AS VARCHAR) AS ro, CAST(apid AS VARCHAR) AS apid FROM leases) SELECT delete_id, count(DISTINCT _id) AS n FROM x LEFT JOIN l USING (uid, ro, apid) GROUP BY 1")
+@add("dml_delete_candidates", f"WITH {_FIRST}, x AS (SELECT change_id AS delete_id, coalesce(trim(unique_identifier), '') AS uid, coalesce(trim(reg_order), '') AS ro, coalesce(trim(associated_property_description_id), '') AS apid FROM f WHERE upper(trim(change_indicator)) = 'D'), l AS (SELECT DISTINCT _id, uid, coalesce(CAST(ro AS VARCHAR), '') AS ro, coalesce(CAST(apid AS VARCHAR), '') AS apid FROM leases) SELECT delete_id, count(DISTINCT _id) AS n FROM x LEFT JOIN l USING (uid, ro, apid) GROUP BY 1")
 def dml_delete_candidates(spark, d):
     x = delta.split_changes(_deletes(spark, d))[0].select(F.col("change_id").alias("delete_id"), text.text_value(F.col("unique_identifier")).alias("uid"), text.text_value(F.col("reg_order")).alias("ro"), text.text_value(F.col("associated_property_description_id")).alias("apid"))
     l = _t(spark, d, "leases").select("_id", "uid", text.text_value(F.col("ro")).alias("ro"), text.text_value(F.col("apid")).alias("apid")).distinct()
