@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +63,22 @@ def _remove(spark: SparkSession, folder: str) -> None:
         return
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, unless they have it on their path already."""
+    root, app = Path(__file__).resolve().parent.parent, spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="demesne-"), "demesne.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in (root / "demesne").rglob("*.py"):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def strip(c: Column | str) -> Column:
     """c without white space at either end; NULL stays NULL."""
     c = F.col(c) if isinstance(c, str) else c

@@ -303,7 +303,7 @@ _P4D = rf"(?i)^(\d+) years expiring on (\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
 
 @add(
     "term_expiring",
-    f"WITH {_NORM} SELECT term, dol, CAST(expiry - to_years(CAST(regexp_extract(n, '{_P4D}', 1) AS INTEGER)) AS DATE) AS start, {_day(2, 3, 4, _P4D, 'a')} AS expiry, CAST(regexp_extract(n, '{_P4D}', 1) AS DOUBLE) AS tenure FROM t JOIN months a ON lower(regexp_extract(n, '{_P4D}', 3)) = a.m WHERE regexp_matches(n, '{_P4D}') AND expiry IS NOT NULL",
+    f"WITH {_NORM} SELECT term, dol, {_day(2, 3, 4, _P4D, 'a')} AS expiry, CAST(expiry - to_years(CAST(regexp_extract(n, '{_P4D}', 1) AS INTEGER)) AS DATE) AS start, CAST(regexp_extract(n, '{_P4D}', 1) AS DOUBLE) AS tenure FROM t JOIN months a ON lower(regexp_extract(n, '{_P4D}', 3)) = a.m WHERE regexp_matches(n, '{_P4D}') AND expiry IS NOT NULL",
 )
 def term_expiring(spark, d):
     return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter((F.col("parsed.pattern") == "4d") & F.regexp_replace(F.regexp_replace(F.trim("term"), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"\s+", " ").rlike(_P4D)).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
