@@ -127,17 +127,18 @@ def test_leaks(spark):
         3: FILL + " ".join(w[2:12]) + " " + FILL + " ".join(w[26:38]) + FILL,
         4: " ".join("changed" if i % 9 == 4 else x for i, x in enumerate(w)),
         5: FILL * 30,
-        6: OTHER.split(" . ")[0] + FILL,
+        6: "The tribunal sat in May 1999 and cut the claim from 7 pounds to 3 and awarded K Wyn costs for 2 hearings . " + FILL,  # the phrases of both items, the facts of neither
+        12: OTHER.split(" . ")[0] + FILL,  # the first half of the other item
         7: "",
         8: None,
         9: " ".join(w[:8]),
         10: ITEM,
-        11: half.replace("pounds", "pounds") + FILL,
+        11: half + FILL,
     }
     df = spark.createDataFrame([(k, v, 1.0) for k, v in docs.items()], "doc_id long, text string, containment double")
     items = spark.createDataFrame([(100, ITEM), (200, OTHER), (300, None), (400, "")], "item_id long, text string")
     got = {(r["item_id"], r["doc_id"]) for r in contamination.leaked_items(df, items).collect()}
-    assert got == {(100, 1), (100, 2), (100, 3), (100, 4), (100, 10), (100, 11)}
+    assert got == {(100, 1), (100, 2), (100, 3), (100, 4), (100, 10), (100, 11), (200, 12)}
     blocks = {(r["item_id"], r["doc_id"]) for r in contamination.leaked_items(df, items, block_items=1).collect()}
     assert blocks == got
     assert contamination.leaked_items(df.limit(0), items).count() == 0 == contamination.leaked_items(df, items.limit(0)).count()
@@ -178,7 +179,14 @@ def test_sentences_keep_initials_and_wrapped_lines():
     assert language.sentences(None) == language.sentences(" \n ") == []
 
 
+def _enough(sf):
+    """The smallest tables hold too few sentences of the rare languages to learn from."""
+    more = sf.replace("sf0.001", "sf0.01")
+    return more if Path(more).exists() else sf
+
+
 def test_identify(spark, sf):
+    sf = _enough(sf)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = language.fit(docs.select("doc_id", "text", "lang"))
     en = "The tenant must repair the internal walls throughout the term. The meeting agreed that the roof contract be given to the local tender."
@@ -194,7 +202,7 @@ def test_identify(spark, sf):
 
 def test_held_out_accuracy(spark, sf):
     """Trained on one half of the labelled sentences, the other half is told right where labels agree with all neighbours."""
-    docs = [r for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r["text"] and language.language_of_label(r["lang"])]
+    docs = [r for r in spark.read.parquet(f"{_enough(sf)}/documents.parquet").collect() if r["text"] and language.language_of_label(r["lang"])]
     idf = np.ones(1 << 13)
     part = lambda k: [(s, language.LANGUAGES.index(language.language_of_label(r["lang"]))) for i, r in enumerate(docs) if i % 2 == k for s in language.sentences(r["text"]) if language.letters(s) >= 30]
     train, held = part(0), part(1)
