@@ -13,7 +13,9 @@ def findings(start: Column, expiry: Column, tenure: Column, reference: Column, t
     """array<struct<code, severity>>; a missing part ends the checks."""
     nothing = start.isNull() & expiry.isNull() & tenure.isNull()
     partial = start.isNull() | expiry.isNull() | tenure.isNull()
-    off = F.abs(F.datediff(F.add_months(start, F.floor(tenure).cast("int") * 12), expiry))
+    # a million years is beyond any expiry and still a date; larger tenures would overflow
+    years = F.floor(F.greatest(F.least(tenure, F.lit(1e6)), F.lit(-1e6))).cast("int")
+    off = F.abs(F.datediff(F.add_months(start, years * 12), expiry))
     checks = [
         ("INVALID_DATE_ORDER", start >= expiry),
         ("INVALID_TENURE", tenure <= 0),
