@@ -4,14 +4,16 @@ Size-partitioned MinHash containment search. The items' shingles that are not st
 `stock_items` items share) form the queries. Documents are cut into windows of at most `window`
 shingles, over their whole length; windows are partitioned by size, and for each size class the
 containment threshold is turned into a Jaccard threshold, from which the number of bands follows (one
-row per band: the sought similarity is low). A window and an item are candidates if any of these
-minima agree. Each candidate is verified exactly on the whole document: containment of the item's own
+row per band: the sought similarity is low). The item of a block that needs most bands, which is the
+shortest, sets their number, so that the recall holds for every item of the block. A window and an item
+are candidates if any of these minima agree. Each candidate is verified exactly on the whole document: containment of the item's own
 shingles, and the share of the item's words that stand in the document in order in at most two
 stretches.
 
 Scale. One pass over the documents without a shuffle. The items are the stated query set: they are
-taken in blocks of at most `block_items`, whose index (bands x items x 12 bytes) is broadcast, so a
-broadcast never exceeds that bound however many items there are. A block is a pass over the documents.
+taken in blocks of at most `block_items`, whose index (bands x items x 16 bytes) is broadcast, so a
+broadcast never exceeds that bound however many items there are. Items of any length need at most some
+560 bands at the standing parameters. A block is a pass over the documents.
 
 Defined results. Null and empty texts and items hold nothing. An item of fewer words than a shingle is
 one shingle. Items whose shingles are all stock are matched on all their shingles. Copies of a
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -32,23 +34,32 @@ from pyspark.sql import functions as F
 from demesne.llm.text import hashed, shingles, words
 
 SHINGLE = 5
-_RNG = np.random.default_rng(20_240_117)
-_A = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_B = _RNG.integers(0, 2**63, 256, dtype=np.uint64)
 
 
-def bands_needed(window: int, query: int, containment: float, recall: float, most: int) -> int:
-    """Minima to compare so that an item of `query` shingles with this containment in such a window is met."""
-    shared = containment * query
-    j = shared / max(window + query - shared, shared, 1e-9)
-    return most if j <= 0 else 1 if j >= 1 else max(1, min(most, math.ceil(math.log(1 - recall) / math.log(1 - j))))
+@lru_cache(4)
+def permutations(n: int) -> np.ndarray:
+    """(n, 2): factors and summands; the first of them are the same whatever n is."""
+    p = np.random.default_rng(20_240_117).integers(0, 2**63, (n, 2), dtype=np.uint64)
+    p[:, 0] |= np.uint64(1)
+    return p
+
+
+def bands_needed(window: int, query: int, containment: float, recall: float, most: int | None = None) -> int:
+    """Minima to compare so that an item of `query` shingles with this containment in such a window is met.
+
+    No item is met by less than one shingle.
+    """
+    shared = min(query, max(1.0, containment * query))
+    j = shared / max(window + query - shared, shared)
+    need = 1 if j >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - j))
+    return need if most is None else min(need, most)
 
 
 def minima(s: np.ndarray, starts: np.ndarray, bands: int) -> np.ndarray:
     """(bands, windows): the minimum of each permuted hash over each run of shingles."""
     out = np.empty((bands, len(starts)), np.uint32)
-    for j in range(bands):
-        out[j] = np.minimum.reduceat(((s * _A[j] + _B[j]) >> np.uint64(32)).astype(np.uint32), starts)
+    for j, (a, b) in enumerate(permutations(bands)):
+        out[j] = np.minimum.reduceat(((s * a + b) >> np.uint64(32)).astype(np.uint32), starts)
     return out
 
 
@@ -59,7 +70,7 @@ def band_keys(m: np.ndarray) -> np.ndarray:
 class ItemIndex:
     """One block of items: word hashes, own shingles and their minima in sorted order."""
 
-    def __init__(self, ids: list[int], texts: list[str | None], stock: set[int], bands: int) -> None:
+    def __init__(self, ids: list[int], texts: list[str | None], stock: set[int], windows: tuple[int, ...], containment: float, recall: float, most: int | None = None) -> None:
         self.ids, self.words, self.own = [], [], []
         for i, text in zip(ids, texts, strict=True):
             h = hashed(words(text))
@@ -70,7 +81,10 @@ class ItemIndex:
             self.ids.append(i)
             self.words.append(h)
             self.own.append(own if len(own) else s)
+        sizes = {len(o) for o in self.own}
+        self.bands_of = {w: max((bands_needed(w, n, containment, recall, most) for n in sizes), default=1) for w in windows}
         if self.own:
+            bands = max(self.bands_of.values())
             starts = np.cumsum([0] + [len(o) for o in self.own[:-1]])
             keys = band_keys(minima(np.concatenate(self.own), starts, bands))
             flat, item = keys.ravel(), np.tile(np.arange(len(self.ids)), bands)
@@ -78,8 +92,6 @@ class ItemIndex:
             self.keys, self.items = flat[order], item[order]
         else:
             self.keys, self.items = np.empty(0, np.uint64), np.empty(0, int)
-        self.longest = max((len(o) for o in self.own), default=1)
-        self.shortest = min((len(o) for o in self.own), default=1)
 
     def candidates(self, keys: np.ndarray, window_doc: np.ndarray) -> dict[int, set[int]]:
         """Items per document; keys is (bands, windows)."""
@@ -144,11 +156,10 @@ def coverage(runs: list[tuple[int, int, int, int]]) -> tuple[int, int]:
     return best[0], -best[1]
 
 
-def _search(index, window: int, bands_of: dict[int, int], containment: float, covered: float, slice_words: int):
-    classes = sorted(bands_of)
-
+def _search(index, window: int, containment: float, covered: float, slice_words: int):
     def flush(ids: list, texts: list[np.ndarray]) -> pd.DataFrame:
         idx: ItemIndex = index.value
+        classes = sorted(idx.bands_of)
         found: dict[int, set[int]] = {}
         sh = [shingles(t, SHINGLE) for t in texts]
         for at, size in enumerate(classes):
@@ -167,7 +178,7 @@ def _search(index, window: int, bands_of: dict[int, int], containment: float, co
                 owner.append(np.full(len(cuts), d))
                 pos += len(s)
             if parts:
-                keys = band_keys(minima(np.concatenate(parts), np.concatenate(starts), bands_of[size]))
+                keys = band_keys(minima(np.concatenate(parts), np.concatenate(starts), idx.bands_of[size]))
                 for d, items in idx.candidates(keys, np.concatenate(owner)).items():
                     found.setdefault(d, set()).update(items)
         out = []
@@ -201,11 +212,12 @@ def _search(index, window: int, bands_of: dict[int, int], containment: float, co
     return run
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, containment: float = 0.18, covered: float = 0.4, stock_items: int = 2, window: int = 96, bands: int = 128, recall: float = 0.995, block_items: int = 5_000, slice_words: int = 400_000) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, containment: float = 0.18, covered: float = 0.4, stock_items: int = 2, window: int = 96, bands: int | None = None, recall: float = 0.995, block_items: int = 5_000, slice_words: int = 400_000) -> DataFrame:
     """(item_id, doc_id, containment, covered, n_stretches): the items of which a document holds a good part.
 
     `containment` is the share of the item's own five-word shingles that a document must hold, `covered`
-    the share of its words that must stand there in at most two stretches.
+    the share of its words that must stand there in at most two stretches. `bands`, if given, caps the
+    minima compared; short items may then fall below `recall`.
     """
     spark = documents.sparkSession
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
@@ -223,8 +235,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, containment: float = 0.
         rows = asked.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).toPandas()
         here = {int(x) for t in rows["text"] for x in np.unique(shingles(hashed(words(t)), SHINGLE)).astype(np.int64)}
         common = {int(np.uint64(np.int64(r["s"]).view(np.uint64))) for r in stock.toLocalIterator() if r["s"] in here}
-        index = ItemIndex(rows["item_id"].tolist(), rows["text"].tolist(), common, bands)
-        classes = {size: bands_needed(size, index.longest, containment / 2, recall, bands) for size in (window // 4, window // 2, window)}
-        find = _search(spark.sparkContext.broadcast(index), window, classes, containment, covered, slice_words)
+        index = ItemIndex(rows["item_id"].tolist(), rows["text"].tolist(), common, (window // 4, window // 2, window), containment / 2, recall, bands)
+        find = _search(spark.sparkContext.broadcast(index), window, containment, covered, slice_words)
         found.append(docs.mapInPandas(find, "item_id long, doc_id long, containment double, covered double, n_stretches int"))
     return reduce(DataFrame.unionAll, found)

@@ -165,6 +165,27 @@ def test_search_meets_exact_containment(spark, sf):
     assert got == want
 
 
+def test_short_items_beside_a_long_one_are_met():
+    """The recall holds for every item of a block: short items are not searched with the few bands of a long one."""
+    rnd = np.random.default_rng(7)
+    text = lambda n: " ".join(f"w{x}" for x in rnd.integers(0, 10**9, n))
+    short = [text(24) for _ in range(400)]  # 20 shingles each
+    docs = [" ".join(s.split()[:8]) + " " + text(88) for s in short]  # 4 of them, in a window of 92
+    items = [*short, text(2_004)]
+    index = contamination.ItemIndex(list(range(401)), items, set(), (24, 48, 96), 0.09, 0.995)
+    assert all(index.bands_of[w] >= contamination.bands_needed(w, len(o), 0.09, 0.995) for w in (24, 48, 96) for o in index.own)
+    sh = [shingles(hashed(words(d)), 5) for d in docs]
+    keys = contamination.band_keys(contamination.minima(np.concatenate(sh), np.cumsum([0] + [len(s) for s in sh[:-1]]), index.bands_of[96]))
+    found = index.candidates(keys, np.arange(400))
+    assert sum(i in found.get(i, ()) for i in range(400)) >= 0.995 * 400
+
+
+@pytest.mark.parametrize("n", [1, 5, 11, 12, 53, 2_000])
+def test_bands_reach_the_recall(n):
+    bands, shared = contamination.bands_needed(96, n, 0.09, 0.995), min(n, max(1, 0.09 * n))
+    assert 1 - (1 - shared / (96 + n - shared)) ** bands >= 0.995
+
+
 # ---------------------------------------------------------------- P8
 
 
