@@ -12,8 +12,8 @@ probable premises above the threshold are taken, if no component that identifies
 Scale. Addresses are linked once per distinct spelling, so copies cost nothing. One shuffle joins the
 block keys; both sides carry their parsed components, so nothing is looked up again. A key with more
 than `max_block` premises (at most premises / max_block keys, which bounds the broadcast that marks
-them) is refined by the sounds of the street and building, so that a hot postcode is not paired
-through. EM runs on the pattern counts, whose number is bounded by the levels, not by the data.
+them) is salted: its premises are dealt over parts of about `max_block`, its addresses go to every part.
+So every pair of a block is compared, however full it is, and no task holds a hot block alone. EM runs on the pattern counts, whose number is bounded by the levels, not by the data.
 
 Defined results. A row without any address has no match; one of two address fields may be null or
 blank. Premises without uprn are left out. Equally probable premises are all given. Repeated rows
@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demesne.common import cut
@@ -221,8 +221,8 @@ def _pair_sounds(words: list[str]) -> list[str]:
     return [sound(a) + sound(b) for a, b in zip(words, words[1:], strict=False)]
 
 
-def address_keys(parsed: list[tuple]) -> tuple[list[str], list[str]]:
-    """(block keys, sounds of all words) of an address in one or two spellings."""
+def address_keys(parsed: list[tuple]) -> list[str]:
+    """Block keys of an address in one or two spellings."""
     flats = [p[0] for p in parsed if p[0]]
     codes = list(dict.fromkeys(p[3] for p in parsed if p[3]))
     keys: list[str] = []
@@ -237,14 +237,14 @@ def address_keys(parsed: list[tuple]) -> tuple[list[str], list[str]]:
         idents = list(dict.fromkeys(idents))
         towns = ["?"] if codes else list(dict.fromkeys("=" + sound(w) for w in words))
         keys += block_keys(codes, idents, _street_sounds(words), towns, [] if codes else _pair_sounds(words))
-    return list(dict.fromkeys(keys)), sorted({sound(w) for _, _, words, _ in parsed for w in words})
+    return list(dict.fromkeys(keys))
 
 
-def premises_keys(g: tuple) -> tuple[list[str], list[str]]:
+def premises_keys(g: tuple) -> list[str]:
     flat, num, building, street, town, _, code = g
     idents = [f"F{flat}"] if flat else ([f"N{num}"] if num else []) + ([f"B{sound(building[0])}"] if building else [])
     towns = ["=" + sound(town[-1])] if town else []
-    return block_keys([code] if len(code) > 3 else [], idents, _street_sounds(street), towns if code else [*towns, "?"], _pair_sounds(building) or _pair_sounds(street)), sorted({sound(w) for w in building[:1] + street[:2]})
+    return block_keys([code] if len(code) > 3 else [], idents, _street_sounds(street), towns if code else [*towns, "?"], _pair_sounds(building) or _pair_sounds(street))
 
 
 # ---------------------------------------------------------------- comparison
@@ -403,7 +403,7 @@ def plausible(pattern: str) -> bool:
 
 # ---------------------------------------------------------------- linkage
 
-_G = "uprn long, keys array<string>, sounds array<string>, flat string, num string, building string, street string, town string, locality string, code string"
+_G = "uprn long, keys array<string>, flat string, num string, building string, street string, town string, locality string, code string"
 
 
 def _parsed_premises(gazetteer: DataFrame) -> DataFrame:
@@ -412,8 +412,7 @@ def _parsed_premises(gazetteer: DataFrame) -> DataFrame:
             out = []
             for row in b.itertuples(index=False):
                 g = premises(*row[1:])
-                keys, sounds = premises_keys(g)
-                out.append((row[0], keys, sounds, g[0], g[1], *[" ".join(x) for x in g[2:6]], g[6]))
+                out.append((row[0], premises_keys(g), g[0], g[1], *[" ".join(x) for x in g[2:6]], g[6]))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _G.split(", ")])
 
     columns = ["sub_building_name", "building_name", "building_number", "thoroughfare", "dependent_thoroughfare", "post_town", "dependent_locality", "postcode"]
@@ -430,11 +429,10 @@ def _parsed_addresses(leases: DataFrame) -> DataFrame:
             for akey, rpd, apd in zip(b["akey"], b["rpd"], b["apd"], strict=True):
                 both = [p for p in (parse(rpd), parse(apd)) if p]
                 if both:
-                    keys, sounds = address_keys(both)
-                    out.append((akey, keys, sounds, " ".join(p[3] for p in both), "\n".join(pack(p) for p in both)))
-            yield pd.DataFrame(out, columns=["akey", "keys", "sounds", "codes", "spelt"])
+                    out.append((akey, address_keys(both), " ".join(p[3] for p in both), "\n".join(pack(p) for p in both)))
+            yield pd.DataFrame(out, columns=["akey", "keys", "codes", "spelt"])
 
-    return leases.select("akey", "rpd", "apd").dropDuplicates(["akey"]).mapInPandas(run, "akey string, keys array<string>, sounds array<string>, codes string, spelt string")
+    return leases.select("akey", "rpd", "apd").dropDuplicates(["akey"]).mapInPandas(run, "akey string, keys array<string>, codes string, spelt string")
 
 
 def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -460,20 +458,20 @@ def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_bl
     spark = leases.sparkSession
     akey = F.md5(F.concat_ws("\x1f", F.coalesce("rpd", F.lit("")), F.coalesce("apd", F.lit(""))))
     rows = leases.select(F.col(id_column).alias("lease_id"), akey.alias("akey"), "rpd", "apd").filter(F.col("lease_id").isNotNull())
-    a = _parsed_addresses(rows).select("akey", "sounds", "codes", "spelt", F.explode("keys").alias("key"))
+    a = _parsed_addresses(rows).select("akey", "codes", "spelt", F.explode("keys").alias("key"))
     g = cut(_parsed_premises(gazetteer))
     parts = ["flat", "num", "building", "street", "town", "locality", "code"]
-    keyed = g.select("uprn", "sounds", *parts, F.explode("keys").alias("key"))
+    keyed = g.select("uprn", *parts, F.explode("keys").alias("key"))
     # at most |keyed| / max_block keys can be that full, which bounds this broadcast
-    hot = F.broadcast(keyed.groupBy("key").count().filter(F.col("count") > max_block).select("key", F.lit(True).alias("hot")))
+    hot = F.broadcast(keyed.groupBy("key").count().filter(F.col("count") > max_block).select("key", F.ceil(F.col("count") / max_block).cast("int").alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
 
-    def refined(df: DataFrame) -> DataFrame:
-        finer = F.when(F.col("hot"), F.transform("sounds", lambda s: F.concat("key", F.lit("|"), s))).otherwise(F.array("key"))
-        return df.join(hot, "key", "left").withColumn("key", F.explode(finer)).drop("hot", "sounds")
+    def salted(df: DataFrame, salt: Column) -> DataFrame:
+        return df.join(hot, "key", "left").withColumn("salt", salt).drop("salts")
 
     # premises with the address's postcode are met by that; the street key is for all others
     twice = F.col("key").startswith("S|") & (F.col("code") != "") & F.contains("codes", "code")
-    pairs = refined(a).join(refined(keyed), "key").filter(~twice).select("akey", "spelt", "uprn", *parts)
+    pairs = salted(a, F.explode(F.sequence(F.lit(0), salts - 1))).join(salted(keyed, F.pmod(F.hash("uprn"), salts)), ["key", "salt"]).filter(~twice).select("akey", "spelt", "uprn", *parts)
     compared = pairs.mapInPandas(_compare_batches, "akey string, uprn long, pattern string")
     best = cut(compared.distinct())
     counts = {r["pattern"]: r["count"] for r in best.groupBy("pattern").count().collect()}

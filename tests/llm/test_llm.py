@@ -64,6 +64,16 @@ def test_links(spark):
     assert addresses.link(leases, _gazetteer(spark).limit(0)).count() == 0
 
 
+def test_full_blocks_are_compared_whole(spark):
+    """A misspelt building and no street: only the postcode and flat lead to the premises, in a full block too."""
+    rows = [(i, "FLAT 1", f"{name} HALL", None, f"{name} LANE", None, "TARN", None, "QA1 1AA", 0) for i, name in enumerate(["OPAL", "BRIAR", "CEDAR", "DAMSON", "FENNEL"], 1)]
+    gaz = spark.createDataFrame(rows, _gazetteer(spark).schema)
+    leases = spark.createDataFrame([("a", "Flat 1, Opsl Hall QA1 1AA", None)], "_id string, rpd string, apd string")
+    assert addresses.sound("OPSL") != addresses.sound("OPAL")
+    pairs = [{tuple(r) for r in addresses.link(leases, gaz, threshold=-99.0, max_block=n).select("lease_id", "uprn").collect()} for n in (2_000, 2, 1)]
+    assert pairs == [{("a", 1)}] * 3
+
+
 def test_linkage_against_known_references(spark, sf):
     """Leases that carry a reference tell whether the address alone would have found it."""
     known = spark.read.parquet(f"{sf}/leases.parquet").filter("uprn IS NOT NULL")
