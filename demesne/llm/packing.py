@@ -1,9 +1,9 @@
 """Filling fixed-capacity containers with texts.
 
-Hierarchical multi-length packing. The capacity is halved into tiers (context sizes); a text belongs to
-the smallest tier that holds it. The longest tier is packed first, one text per container where it must
-be; the gaps of those long windows are filled from the shorter tiers, longest first and best fit, and
-what is left of a tier opens containers of its own. Containers are then dealt to step groups so that
+Best-fit-decreasing: texts are packed longest first, each into the fullest container that still holds
+it. The capacity is halved into tiers (context sizes) and a text is labelled with the smallest tier that
+holds it. As every container has the full capacity, going tier by tier is the same as going by length:
+the tiers do not change what is packed where. Containers are then dealt to step groups so that
 the groups' attention costs (sum of squared lengths) are balanced.
 
 A text is cut only if it alone exceeds the capacity, into as few pieces as possible; cuts fall on token
@@ -104,7 +104,7 @@ def tier_sizes(capacity: int, tiers: int) -> list[int]:
 
 
 def pack(sizes: np.ndarray, capacity: int, tiers: int) -> tuple[np.ndarray, np.ndarray]:
-    """(container of each item, tier of each item), tier by tier from the longest, best fit within the gaps."""
+    """(container of each item, tier of each item): best fit, longest first; the tiers only label."""
     limits = tier_sizes(capacity, tiers)
     tier = np.zeros(len(sizes), np.int32)
     for k, limit in enumerate(limits):
