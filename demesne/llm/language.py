@@ -223,7 +223,7 @@ def train(texts: list[str], labels: np.ndarray, idf: np.ndarray, clusters: int,
 
 
 def fit(documents: DataFrame, dims: int = 1 << 15, clusters: int = 3, sample: int = 4_000) -> Model:
-    """IDF over all documents; centroids from at most about `sample` labelled sentences per language."""
+    """IDF over all documents; centroids from at most about `sample` distinct labelled sentences per language."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("text IS NOT NULL AND text <> ''")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +265,7 @@ def fit(documents: DataFrame, dims: int = 1 << 15, clusters: int = 3, sample: in
                             out_s.append(x)
             yield pd.DataFrame({"k": np.array(out_l, np.int32), "s": np.array(out_s, dtype=object)})
 
-    rows = docs.select("lang", "text").filter(F.col("lang").isin(list(share))).mapInPandas(pick, "k int, s string").toPandas() if share else pd.DataFrame({"k": np.empty(0, np.int32), "s": np.empty(0, object)})
+    rows = docs.select("lang", "text").filter(F.col("lang").isin(list(share))).mapInPandas(pick, "k int, s string").distinct().toPandas() if share else pd.DataFrame({"k": np.empty(0, np.int32), "s": np.empty(0, object)})
     rows = rows.sort_values(["k", "s"], kind="stable")
     return train(rows["s"].tolist(), rows["k"].to_numpy(np.int64), idf, clusters)
 

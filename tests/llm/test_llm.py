@@ -231,6 +231,16 @@ def test_identify(spark, sf):
     assert all(0.5 <= r["confidence"] <= 1 for r in language.identify(df, model).collect())
 
 
+def test_copies_of_a_sentence_are_learned_once(spark, monkeypatch):
+    """The bound on the sentences that go to the driver holds however often one is copied."""
+    copied = "The tenant must repair the internal walls throughout the term."
+    rows = [(i, copied, "en") for i in range(2_000)] + [(2_000 + i, f"The tenant of house {'abcdefghij'[i]} must keep the garden in order.", "en-GB") for i in range(10)]
+    learned = []
+    monkeypatch.setattr(language, "train", lambda texts, labels, *_: learned.append(list(zip(texts, labels.tolist(), strict=True))))
+    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=4_000)
+    assert len(learned[0]) == len(set(learned[0])) == 11
+
+
 def test_held_out_accuracy(spark, sf):
     """Trained on one half of the labelled sentences, the other half is told right where labels agree with all neighbours."""
     docs = [r for r in spark.read.parquet(f"{_enough(sf)}/documents.parquet").collect() if r["text"] and language.language_of_label(r["lang"])]
