@@ -1,26 +1,33 @@
 """Missing or wrong document language labels; languages mixed within a document.
 
 Nearest-centroid classification. A sentence is the normalised TF-IDF vector of its hashed character
-trigrams (with word ends) and whole words. Every language has several centroids:
-labelled sentences whose function words speak clearly for a language, or speak as their label does, give
-the first centroids; round by round these take in the sentences they tell clearly, whatever the label;
-then the sentences of each language are clustered (spherical k-means). A
-sentence takes the language of the nearest centroid by cosine, and none if it lies further away from
-all of them than nearly all training sentences of that language do.
+trigrams (with word ends) and whole words. Every language has several centroids. The labelled sentences
+are clustered first, whatever their labels (spherical k-means); a cluster is named after the label that is
+most over-represented in it, which is the majority where every label has the same number of draws, so
+that wrong labels, however many a rare language has, do not outvote the right ones. Round by round the
+languages then take in the sentences that they tell clearly; last, the sentences of each language are
+clustered again, which gives its centroids. A sentence takes the language of the nearest centroid by
+cosine, and none if it lies further away than nearly all held-out sentences of that language do from
+centroids learned without them (two halves, crossed), which does not depend on how many there are.
 
 The document frequencies come from all documents, in one pass that leaves at most `dims` numbers. The
-centroids are fitted on the driver on at most about `sample` labelled sentences per language, which is
-a documented bound; classification is one pass over all documents without a shuffle.
+centroids are fitted on the driver on a bounded sample: of each language that labels name, at most about
+`sample` documents, drawn by a hash of doc_id, and of each at most `per_document` sentences, drawn by place. A
+sentence drawn more than once is learned once. Drawing is by row, so a frequent sentence is never lost.
+Classification is one pass over all documents without a shuffle.
 
-Segments. Rejected sentences (names, numbers, fragments) neither make nor break a run. A run of one
+Segments. Rejected sentences (names, numbers) and those of less than three words, if there are longer
+ones, neither make nor break a run. A run of one
 sentence counts only if its language leads the neighbours' language by `margin`. The confidence of a
-segment is the mean, by letters, of best / (best + second best language).
+segment is the mean, by letters, of best / (best + second best language); that of a text is the mean over
+what is in its language.
 
 Defined results. Null, empty and letterless texts are no cases; so are texts all of whose sentences are
-rejected. With only some dozens of sentences of a language its centroids are weak: some two hundred are
-needed for the accuracy that the README gives. A label is read without case, blanks and region; one that names no language counts as
-missing. Long texts are read whole. An empty table gives no rows; without labelled sentences the
-anchors alone make the centroids. Extra columns are ignored.
+rejected. Mark-up is what stands between < and > on one line, a tag name first. A quotation of up to 40 characters is
+no language of its own, a longer one is text. A label is read without case, blanks and region; one that names
+no language counts as missing. Long texts are read whole. An empty table gives no rows. A language that no
+cluster is named after (too few or no labelled sentences) gets its function words as its centroid.
+With only some dozens of sentences of a language its centroids are weak. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +55,7 @@ NAMES = {
 }
 _CODE = {name: code for code, names in NAMES.items() for name in names}
 
-#: Frequent function words of each language; they tie the labels to the languages.
+#: Frequent function words of each language; they stand in for one of which no labelled sentences are at hand.
 ANCHORS = {
     "en": "the of and to in that is was for with on by from this which not are be have has",
     "cy": "yr y yn a ac i o ar gan wedi mae bydd nid oes hon hwn neu cyn ei am",
@@ -60,9 +67,7 @@ ANCHORS = {
 }
 
 _END = re.compile(r"(?<=[.!?])[\"')\]»”]*\s+|\n\s*\n+")
-_INITIAL = re.compile(r"(?:^|[\s(>])[^\W\d_]\.$")
-_OTHER = re.compile(r"[\W\d_]+")
-_MARKUP = re.compile(r"<[^<>\n]{1,200}>|^>+ ?", re.M)
+_MARKUP = re.compile(r"</?[A-Za-z!][^<>\n]*>|^>+ ?", re.M)
 _QUOTED = re.compile(r"[\"“„«][^\"“”„«»]{1,40}[\"”»]")
 
 
@@ -73,6 +78,11 @@ def language_of_label(label: str | None) -> str | None:
     return _CODE.get(re.split(r"[-_\s(.]", label.strip().lower(), maxsplit=1)[0])
 
 
+def _ends_in_initial(s: str) -> bool:
+    """The text ends in a full stop after a letter that stands alone."""
+    return len(s) > 1 and s[-1] == "." and s[-2].isalpha() and (len(s) == 2 or s[-3].isspace() or s[-3] in "(>")
+
+
 def sentences(text: str | None) -> list[str]:
     """Sentences in order. A full stop after a single letter (an initial) ends none; lone line breaks are layout."""
     if not text:
@@ -84,50 +94,97 @@ def sentences(text: str | None) -> list[str]:
         part = part.strip()
         if not part:
             continue
-        if out and _INITIAL.search(out[-1]):
+        if out and _ends_in_initial(out[-1]):
             out[-1] = f"{out[-1]} {part}"
         else:
             out.append(part)
     return out
 
 
-def letters(s: str) -> int:
-    return len(_OTHER.sub("", s))
+# ---------------------------------------------------------------- vectors
+
+_LETTERS: list[np.ndarray] = []
 
 
-# ---------------------------------------------------------------- vectors
+def _letter_table() -> np.ndarray:
+    """Code point to its lower-case letter, to a blank if it is none, to itself if it is an apostrophe or line break."""
+    if not _LETTERS:
+        t = np.full(0x110000, 32, np.uint32)
+        for c in range(0x110000):
+            x = chr(c)
+            if x.isalpha():
+                low = x.lower()
+                t[c] = ord(low) if len(low) == 1 else c
+        t[10] = 10
+        _LETTERS.append(t)
+    return _LETTERS[0]
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(letters and blanks of all texts, text number of each); texts are set apart by line breaks, quoted words left out."""
+    clean = [_QUOTED.sub(" ", t) if '"' in t or "\u201c" in t or "\u201d" in t or "\u201e" in t or "\u00ab" in t else t for t in texts]
+    joined = " " + " \n ".join(t.replace("\n", " ") for t in clean) + " "
+    cp = _letter_table()[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
+    return cp, np.cumsum(cp == 10)
+
+
+def letter_counts(texts: list[str]) -> np.ndarray:
+    """Letters of each text, quoted words included."""
+    joined = "\n".join(t.replace("\n", " ") for t in texts)
+    cp = _letter_table()[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
+    return np.bincount(np.cumsum(cp == 10)[cp > 32], minlength=len(texts)) if len(cp) else np.zeros(len(texts), np.int64)
+
+
+_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xCA5A826395121157)
+
+
+def _grams(texts: list[str], dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text of each letter, feature of the trigram around it, first letter of each word, 64-bit hash of each word).
+
+    A trigram has a letter in the middle; a blank at an end says where a word begins or ends.
+    """
+    letters, row = code_points(texts)
+    mid = np.flatnonzero(letters > 32)
+    cp = letters.astype(np.uint64)
+    bits = np.uint64(64 - (dims.bit_length() - 1))
+    tri = ((cp[mid - 1] * _M1 + cp[mid] * _M2 + cp[mid + 1] * _M3) * _M1 >> bits).astype(np.int64)
+    begin = np.flatnonzero(letters[mid - 1] <= 32)
+    if not len(mid):
+        return row[mid], tri, begin, np.empty(0, np.uint64)
+    # a word is a polynomial of its letters
+    place = np.arange(len(mid)) - np.repeat(begin, np.diff(np.r_[begin, len(mid)]))
+    power = np.cumprod(np.full(int(place.max()) + 1, _M2, np.uint64))
+    return row[mid], tri, begin, np.add.reduceat(cp[mid] * power[place], begin) * _M3
+
+
+def _word_features(word: np.ndarray, dims: int) -> np.ndarray:
+    return (word >> np.uint64(64 - (dims.bit_length() - 1))).astype(np.int64)
 
 
 def features(texts: list[str], dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature, count) of every trigram and word, sorted by row and feature."""
-    clean = [_OTHER.sub(" ", _QUOTED.sub(" ", t).lower().replace("’", "'")).strip() for t in texts]
-    joined = " " + " \n ".join(clean) + " "
-    cp = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    stop = cp == 10
-    row = np.cumsum(stop)
-    rows, ids = [], []
-    if len(cp) > 2:
-        # a space in the middle belongs to two words; one at an end says where a word begins or ends
-        keep = ~(stop[:-2] | stop[1:-1] | stop[2:] | (cp[1:-1] == 32))
-        h = cp[:-2] * np.uint64(0x9E3779B97F4A7C15) + cp[1:-1] * np.uint64(0xD6E8FEB86659FD93) + cp[2:] * np.uint64(0xCA5A826395121157)
-        rows.append(row[1:-1][keep])
-        ids.append((h[keep] >> np.uint64(40)) % np.uint64(dims))
-    tokens = [t.split() for t in clean]
-    flat = [w for t in tokens for w in t]
-    if flat:
-        rows.append(np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]))
-        ids.append((pd.util.hash_array(np.array(flat, dtype=object), categorize=True) >> np.uint64(20)) % np.uint64(dims))
-    key = np.concatenate(rows).astype(np.int64) * dims + np.concatenate(ids).astype(np.int64) if rows else np.empty(0, np.int64)
-    key, count = np.unique(key, return_counts=True)
-    return key // dims, key % dims, count
+    """(row, feature, count) of every trigram and word, sorted by row and feature; dims is a power of two."""
+    if not texts:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    row, tri, begin, word = _grams(texts, dims)
+    return _counted(row, tri, begin, word, dims)
+
+
+def _counted(row: np.ndarray, tri: np.ndarray, begin: np.ndarray, word: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    shift = np.int64(dims.bit_length() - 1)
+    key = np.concatenate([(row << shift) | tri, (row[begin] << shift) | _word_features(word, dims)])
+    key.sort()
+    first = np.flatnonzero(np.r_[len(key) > 0, key[1:] != key[:-1]])
+    count = np.diff(np.r_[first, len(key)])
+    key = key[first]
+    return key >> shift, key & np.int64(dims - 1), count
 
 
 def vectors(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, weight): TF-IDF with unit length per row."""
     row, col, count = features(texts, len(idf))
-    w = (1 + np.log(count)) * idf[col]
+    w = (count * idf[col]).astype(np.float32)
     norm = np.sqrt(np.bincount(row, w * w, minlength=len(texts)))
-    return row, col, (w / np.maximum(norm[row], 1e-12)).astype(np.float32)
+    return row, col, w / np.maximum(norm[row], 1e-12).astype(np.float32)
 
 
 def similarities(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, centroids: np.ndarray) -> np.ndarray:
@@ -149,10 +206,36 @@ def similarities(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, cent
 class Model:
     def __init__(self, idf: np.ndarray, centroids: np.ndarray, owner: np.ndarray, reject: np.ndarray) -> None:
         self.idf, self.centroids, self.owner, self.reject = idf, centroids.astype(np.float32), owner, reject
+        self.weighted: np.ndarray | None = None
+
+    def cosines(self, texts: list[str]) -> np.ndarray:
+        """(texts, centroids). A dot product is a sum over words, so each distinct word is multiplied out once."""
+        dims, out = len(self.idf), np.zeros((len(texts), self.centroids.shape[1]), np.float32)
+        if not texts:
+            return out
+        row, tri, begin, word = _grams(texts, dims)
+        if not len(word):
+            return out
+        one, count = self._weighted(), np.diff(np.r_[begin, len(tri)])
+        _, first, at = np.unique(word, return_index=True, return_inverse=True)
+        size = count[first]
+        inside = np.repeat(begin[first] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(int(size.sum()))
+        product = np.add.reduceat(one[tri[inside]], np.r_[0, np.cumsum(size)[:-1]], axis=0) + one[_word_features(word[first], dims)]
+        r = row[begin]
+        start = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+        out[r[start]] = np.add.reduceat(product[at], start, axis=0)
+        rows, col, n = _counted(row, tri, begin, word, dims)
+        norm = np.sqrt(np.bincount(rows, (n * self.idf[col]) ** 2, minlength=len(texts)))
+        return out / np.maximum(norm, 1e-12).astype(np.float32)[:, None]
+
+    def _weighted(self) -> np.ndarray:
+        if self.weighted is None:
+            self.weighted = self.centroids * self.idf[:, None].astype(np.float32)
+        return self.weighted
 
     def classify(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(language number or -1, cosine with the nearest centroid of each language)."""
-        sims = similarities(vectors(texts, self.idf), len(texts), self.centroids)
+        sims = self.cosines(texts)
         by = np.stack([sims[:, self.owner == k].max(axis=1) if (self.owner == k).any() else np.full(len(texts), -1.0) for k in range(len(LANGUAGES))], axis=1)
         best = by.argmax(axis=1)
         near = by[np.arange(len(texts)), best]
@@ -170,67 +253,123 @@ def _means(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], group: np.ndarray,
     return np.bincount(col[ok] * groups + g[ok], w[ok], minlength=dims * groups).reshape(dims, groups)
 
 
-def train(texts: list[str], labels: np.ndarray, idf: np.ndarray, clusters: int, rounds: int = 5, quantile: float = 0.002, slack: float = 0.6) -> Model:
-    """Centroids per language from noisily labelled sentences; labels are language numbers."""
+def _rows(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """These rows (in rising order), numbered anew."""
+    row, col, w = sparse
+    lo, hi = np.searchsorted(row, rows, "left"), np.searchsorted(row, rows, "right")
+    size = hi - lo
+    at = np.repeat(lo - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(int(size.sum()))
+    return np.repeat(np.arange(len(rows)), size), col[at], w[at]
+
+
+def _cluster(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, dims: int, k: int, rounds: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(group of each row, centroids (features, groups)) by spherical k-means; empty groups are dropped.
+
+    The first centroids are rows far apart from one another: each next is the row least like all before.
+    """
+    row, col, w = sparse
+    begin = np.searchsorted(row, np.arange(n + 1))
+    near, seeds, at = np.full(n, -1.0), [], int(n // 2)
+    for _ in range(min(k, n)):
+        seeds.append(at)
+        one = np.zeros(dims, np.float32)
+        one[col[begin[at] : begin[at + 1]]] = w[begin[at] : begin[at + 1]]
+        near = np.maximum(near, np.bincount(row, one[col] * w, minlength=n))
+        # not the very furthest, which would be odd ones: one of the outer tenth, at a fixed place
+        order = np.argsort(near, kind="stable")
+        at = int(order[len(order) // 20])
+    centre = np.zeros((dims, len(seeds)), np.float32)
+    for j, i in enumerate(seeds):
+        centre[col[begin[i] : begin[i + 1]], j] = w[begin[i] : begin[i + 1]]
+    group = np.full(n, -1)
+    for _ in range(rounds):
+        now = similarities(sparse, n, centre).argmax(axis=1)
+        if (now == group).all():
+            break
+        _, group = np.unique(now, return_inverse=True)
+        centre = _unit(_means(sparse, group, int(group.max()) + 1, dims))
+        group = now if len(np.unique(now)) == centre.shape[1] and now.max() < centre.shape[1] else group
+    return group, centre
+
+
+def train(texts: list[str], labels: np.ndarray, idf: np.ndarray, clusters: int, draws: np.ndarray | None = None, seeds: int = 48, leaves: int = 8, rounds: int = 5, quantile: float = 0.002, slack: float = 0.6) -> Model:
+    """Centroids per language from noisily labelled sentences; labels are language numbers.
+
+    A text may stand there under several labels; `draws` says how often it was drawn under each.
+    """
     dims, n = len(idf), len(LANGUAGES)
-    anchor = _means(vectors([ANCHORS[k] for k in LANGUAGES], idf), np.arange(n), n, dims)
+    anchor = _unit(_means(vectors([ANCHORS[k] for k in LANGUAGES], idf), np.arange(n), n, dims))
     if not texts:
-        return Model(idf, _unit(anchor), np.arange(n), np.zeros(n))
+        return Model(idf, anchor, np.arange(n), np.zeros(n))
+    draws = np.ones(len(texts)) if draws is None else draws.astype(float)
+    distinct, at = np.unique(np.array(texts, dtype=object), return_inverse=True)
+    texts = distinct.tolist()
+    by_label = np.zeros((len(texts), n))
+    np.add.at(by_label, (at, labels), draws)
     sparse = vectors(texts, idf)
-    # A wrong label may be as frequent as the right ones of a rare language. So the sentences that begin are those
-    # whose function words speak clearly, or speak as their label does; each round then takes in the sentences that
-    # the centroids so far tell clearly, and leaves the doubtful ones out.
+    # clusters of clusters, each named by the label most over-represented in it
+    volume = np.maximum(by_label.sum(axis=0), 1)
+    group, _ = _cluster(sparse, len(texts), dims, min(seeds, max(n, len(texts) // 4)), rounds)
+    who = np.full(len(texts), -1)
+    for g in range(int(group.max()) + 1):
+        mine = np.flatnonzero(group == g)
+        if not len(mine):
+            continue
+        leaf, _ = _cluster(_rows(sparse, mine), len(mine), dims, max(1, min(leaves, len(mine) // 8)), rounds)
+        held = np.zeros((int(leaf.max()) + 1, n))
+        np.add.at(held, leaf, by_label[mine])
+        who[mine] = (held / volume).argmax(axis=1)[leaf]
+
     def told(sims: np.ndarray, clear: float, labelled: float) -> np.ndarray:
+        """The language of the texts that are told clearly, or less clearly but as a label says; -1 for the others."""
         best = sims.argmax(axis=1)
         two = np.sort(sims, axis=1)[:, -2:]
         lead = two[:, 1] - two[:, 0]
-        return np.where((lead > clear) | ((best == labels) & (lead > labelled)), best, -1)
+        agrees = by_label[np.arange(len(texts)), best] > 0
+        return np.where((lead > clear) | (agrees & (lead > labelled)), best, -1)
 
-    who = told(similarities(sparse, len(texts), _unit(anchor)), 0.02, 0.005)
     for _ in range(rounds):
-        centre = _unit(_unit(_means(sparse, who, n, dims)) + 0.3 * _unit(anchor))
+        centre = _unit(_means(sparse, who, n, dims))
+        lost = np.bincount(who[who >= 0], minlength=n) == 0
+        centre[:, lost] = anchor[:, lost]
         now = told(similarities(sparse, len(texts), centre), 0.04, 0.01)
         if (now == who).all():
             break
         who = now
     columns, owner, reject = [], [], np.zeros(n)
-    row, col, w = sparse
     for k in range(n):
         mine = np.flatnonzero(who == k)
         if not len(mine):
-            columns.append(_unit(anchor)[:, [k]])
+            columns.append(anchor[:, [k]])
             owner.append(k)
             continue
-        at = np.full(len(texts), -1)
-        at[mine] = np.arange(len(mine))
-        ok = at[row] >= 0
-        own = (at[row[ok]], col[ok], w[ok])
-        some = min(clusters, len(mine))
-        group = np.arange(len(mine)) % some
-        for _ in range(rounds):
-            centre = _unit(_means(own, group, some, dims))
-            sims = similarities(own, len(mine), centre)
-            if (sims.argmax(axis=1) == group).all():
-                break
-            group = sims.argmax(axis=1)
-        whole = _unit(_means(own, np.zeros(len(mine), int), 1, dims))
-        centre = np.hstack([centre[:, np.bincount(group, minlength=some) > 0], whole])
+        own = _rows(sparse, mine)
+
+        def centroids(half: np.ndarray, own=own, size=len(mine)) -> np.ndarray:
+            """The centroids of the sentences marked, and their mean."""
+            part, count = _rows(own, np.flatnonzero(half)), int(half.sum())
+            _, centre = _cluster(part, count, dims, min(clusters, count), rounds)
+            return np.hstack([centre, _unit(_means(part, np.zeros(count, int), 1, dims))])
+
+        centre = centroids(np.ones(len(mine), bool))
         columns.append(centre)
         owner += [k] * centre.shape[1]
-        # centroids of few sentences lie too close to them for a strict bound
-        reject[k] = slack * min(1.0, len(mine) / 500) * np.quantile(similarities(own, len(mine), centre).max(axis=1), quantile)
+        if len(mine) >= 2:
+            # how near held-out sentences come: each half against the centroids of the other
+            odd = np.arange(len(mine)) % 2 == 1
+            near = np.where(odd, similarities(own, len(mine), centroids(~odd)).max(axis=1), similarities(own, len(mine), centroids(odd)).max(axis=1))
+            reject[k] = slack * np.quantile(near, quantile)
     return Model(idf, np.hstack(columns), np.array(owner), reject)
 
 
-def fit(documents: DataFrame, dims: int = 1 << 15, clusters: int = 3, sample: int = 4_000) -> Model:
-    """IDF over all documents; centroids from at most about `sample` distinct labelled sentences per language."""
+def fit(documents: DataFrame, dims: int = 1 << 15, clusters: int = 3, sample: int = 800, per_document: int = 6) -> Model:
+    """IDF over all documents; centroids from at most `per_document` sentences of each of about `sample` documents per labelled language."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("text IS NOT NULL AND text <> ''")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(dims, np.int64), 0
         for b in batches:
-            for k in range(0, len(b), 500):
-                texts = b["text"].iloc[k : k + 500].tolist()
+            for texts in _slices(b["text"].tolist()):
                 total += np.bincount(features(texts, dims)[1], minlength=dims)
                 n += len(texts)
         seen = np.flatnonzero(total)
@@ -243,42 +382,53 @@ def fit(documents: DataFrame, dims: int = 1 << 15, clusters: int = 3, sample: in
     total = float(counted.loc[counted["id"] == -1, "df"].sum())
     idf = np.log((total + 1) / (df + 1)) + 0.1
 
-    per_label = {r["lang"]: r["n"] for r in docs.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum(F.length("text")).alias("n")).orderBy(F.desc("n")).limit(1000).collect()}
-    volume: dict[str, int] = {}
-    for label, n in per_label.items():
-        if (k := language_of_label(label)) is not None:
-            volume[k] = volume.get(k, 0) + n
-    share = {label: min(1.0, sample * 80 / volume[k]) for label in per_label if (k := language_of_label(label)) is not None}
+    labelled = docs.withColumn("code", label_code(F.col("lang"))).filter("code IS NOT NULL AND doc_id IS NOT NULL")
+    # one row per language
+    share = {r["code"]: min(1.0, sample / r["count"]) for r in labelled.groupBy("code").count().collect()}
+    if not share:
+        return train([], np.empty(0, np.int64), idf, clusters)
+    limit = F.try_element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("code"))
+    drawn = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 30)) < limit * (1 << 30)).select("doc_id", "code", "text")
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out_l, out_s = [], []
-            for label, text in zip(b["lang"], b["text"], strict=True):
-                if label not in share:
-                    continue
-                s = [x for x in sentences(text) if letters(x) >= 20]
-                if s:
-                    keep = pd.util.hash_array(np.array(s, dtype=object), categorize=False) / 2.0**64 < share[label]
-                    for x, k in zip(s, keep, strict=True):
-                        if k:
-                            out_l.append(LANGUAGES.index(language_of_label(label)))
-                            out_s.append(x)
-            yield pd.DataFrame({"k": np.array(out_l, np.int32), "s": np.array(out_s, dtype=object)})
-
-    rows = docs.select("lang", "text").filter(F.col("lang").isin(list(share))).mapInPandas(pick, "k int, s string").distinct().toPandas() if share else pd.DataFrame({"k": np.empty(0, np.int32), "s": np.empty(0, object)})
+            out = []
+            for doc, code, text in zip(b["doc_id"], b["code"], b["text"], strict=True):
+                s = sentences(text)
+                s = [x for x, m in zip(s, letter_counts(s), strict=True) if m >= 20] if s else s
+                if len(s) > per_document:
+                    s = [s[i] for i in np.random.default_rng(doc & 0xFFFFFFFF).choice(len(s), per_document, replace=False)]
+                out += [(LANGUAGES.index(code), x) for x in s]
+            yield pd.DataFrame(out, columns=["k", "s"])
+
+    rows = drawn.mapInPandas(pick, "k int, s string").groupBy("k", "s").agg(F.count("*").alias("n")).toPandas()
     rows = rows.sort_values(["k", "s"], kind="stable")
-    return train(rows["s"].tolist(), rows["k"].to_numpy(np.int64), idf, clusters)
+    return train(rows["s"].tolist(), rows["k"].to_numpy(np.int64), idf, clusters, rows["n"].to_numpy(np.int64))
+
+
+def _slices(texts: list[str], characters: int = 400_000) -> Iterator[list[str]]:
+    """The texts in lists of about so many characters; a longer text is a list of its own."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= characters:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 # ---------------------------------------------------------------- documents and segments
 
 
-def runs_of(kinds: list[int], sims: np.ndarray, sizes: list[int], margin: float) -> list[tuple[int, int, float, int]]:
-    """(language, letters, confidence, first sentence) of the longest runs in one language, in order."""
-    told = [i for i, k in enumerate(kinds) if k >= 0]
+def runs_of(kinds: list[int], sims: np.ndarray, margin: float) -> list[list[int]]:
+    """The sentences of the longest runs in one language, in order."""
     groups: list[list[int]] = []
-    for i in told:
-        if groups and kinds[groups[-1][-1]] == kinds[i]:
+    for i, k in enumerate(kinds):
+        if k < 0:
+            continue
+        if groups and kinds[groups[-1][-1]] == k:
             groups[-1].append(i)
         else:
             groups.append([i])
@@ -287,23 +437,13 @@ def runs_of(kinds: list[int], sims: np.ndarray, sizes: list[int], margin: float)
     for g, members in enumerate(groups):
         near = [kinds[groups[j][0]] for j in (g - 1, g + 1) if 0 <= j < len(groups)]
         k = kinds[members[0]]
-        weak = len(members) == 1 and near and max(sims[members[0]][k] - sims[members[0]][x] for x in near) < margin
-        if weak and len(groups) > 1:
+        if len(members) == 1 and near and max(sims[members[0]][k] - sims[members[0]][x] for x in near) < margin:
             continue
         if keep and kinds[keep[-1][0]] == k:
             keep[-1] += members
         else:
             keep.append(list(members))
-    out = []
-    for members in keep or groups[:1]:
-        k = kinds[members[0]]
-        size = sum(sizes[i] for i in members)
-        lead = 0.0
-        for i in members:
-            second = max((v for j, v in enumerate(sims[i]) if j != k), default=0.0)
-            lead += sizes[i] * sims[i][k] / max(sims[i][k] + max(second, 0.0), 1e-12)
-        out.append((k, size, lead / max(size, 1), members[0]))
-    return out
+    return keep or groups[:1]
 
 
 def identify(documents: DataFrame, model: Model | None = None, margin: float = 0.05, batch_sentences: int = 20_000) -> DataFrame:
@@ -313,31 +453,49 @@ def identify(documents: DataFrame, model: Model | None = None, margin: float = 0
 
     def flush(held: list[tuple[int, str | None, list[str]]]) -> pd.DataFrame:
         m: Model = shared.value
-        flat = [s for _, _, ss in held for s in ss]
-        kinds, sims = m.classify(flat) if flat else (np.empty(0, int), np.empty((0, len(LANGUAGES))))
-        out, pos = [], 0
-        for doc, label, ss in held:
-            k, s = kinds[pos : pos + len(ss)].tolist(), sims[pos : pos + len(ss)]
-            pos += len(ss)
-            runs = runs_of(k, s, [letters(x) for x in ss], margin)
-            if not runs:
+        # a sentence that stands there more than once is scored once
+        number: dict[str, int] = {}
+        place = np.array([number.setdefault(s, len(number)) for _, _, ss in held for s in ss], np.int64)
+        flat = list(number)
+        kind, sims = m.classify(flat)
+        size = letter_counts(flat)
+        kind = np.where(size > 0, kind, -1)
+        two = np.sort(sims, axis=1)[:, -2:]
+        lead = two[:, 1] / np.maximum(two[:, 1] + np.maximum(two[:, 0], 0), 1e-12)
+        kinds, sizes, leads = kind[place], size[place], lead[place]
+        whole = (np.array([s.count(" ") for s in flat]) >= 2)[place] & (kinds >= 0)
+        ends = np.cumsum([len(ss) for _, _, ss in held])
+        out = []
+        for (doc, label, _), begin, end in zip(held, np.r_[0, ends[:-1]], ends, strict=True):
+            here = kinds[begin:end]
+            if whole[begin:end].any():
+                here = np.where(whole[begin:end], here, -1)
+            told = here[here >= 0]
+            if not len(told):
                 continue
-            size: dict[int, int] = {}
-            for lang, n, _, _ in runs:
-                size[lang] = size.get(lang, 0) + n
-            most = max(size, key=lambda x: (size[x], -x))
-            own = [r for r in runs if r[0] == most]
-            conf = sum(r[1] * r[2] for r in own) / max(sum(size.values()), 1)
-            mixed = len(size) > 1
-            out.append((doc, 0, LANGUAGES[most], conf, sum(size.values()), label, mixed))
-            out += [(doc, j, LANGUAGES[r[0]], r[2], r[1], label, mixed) for j, r in enumerate(runs, 1)]
+            if (told == told[0]).all():
+                runs = [np.flatnonzero(here >= 0)]
+            else:
+                runs = runs_of(here.tolist(), sims[place[begin:end]], margin)
+            rows = []
+            total: dict[int, int] = {}
+            for members in runs:
+                at = begin + np.asarray(members)
+                letters, k = int(sizes[at].sum()), int(here[members[0]])
+                rows.append((k, letters, float((sizes[at] * leads[at]).sum() / max(letters, 1))))
+                total[k] = total.get(k, 0) + letters
+            most = max(total, key=lambda x: (total[x], -x))
+            conf = sum(n * c for k, n, c in rows if k == most) / max(total[most], 1)
+            mixed = len(total) > 1
+            out.append((doc, 0, LANGUAGES[most], conf, sum(total.values()), label, mixed))
+            out += [(doc, j, LANGUAGES[k], c, n, label, mixed) for j, (k, n, c) in enumerate(rows, 1)]
         return pd.DataFrame(out, columns=["doc_id", "seg_no", "lang", "confidence", "letters", "label", "mixed"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
         for b in batches:
             for doc, text, label in zip(b["doc_id"], b["text"], b["label"], strict=True):
-                ss = [s for s in sentences(text) if letters(s)]
+                ss = sentences(text)
                 if not ss:
                     continue
                 held.append((doc, label, ss))

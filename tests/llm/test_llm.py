@@ -232,20 +232,38 @@ def test_identify(spark, sf):
 
 
 def test_copies_of_a_sentence_are_learned_once(spark, monkeypatch):
-    """The bound on the sentences that go to the driver holds however often one is copied."""
+    """The bound on the sentences that go to the driver holds however often one is copied, and a copied one is never lost."""
     copied = "The tenant must repair the internal walls throughout the term."
     rows = [(i, copied, "en") for i in range(2_000)] + [(2_000 + i, f"The tenant of house {'abcdefghij'[i]} must keep the garden in order.", "en-GB") for i in range(10)]
     learned = []
     monkeypatch.setattr(language, "train", lambda texts, labels, *_: learned.append(list(zip(texts, labels.tolist(), strict=True))))
-    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=4_000)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language.fit(df, sample=4_000)
     assert len(learned[0]) == len(set(learned[0])) == 11
+    language.fit(df, sample=20)
+    assert copied in dict(learned[1]) and len(learned[1]) <= 11
+
+
+def test_a_tenth_of_the_draws_gives_the_same_languages(spark, sf):
+    """The model does not depend on how many sentences were drawn."""
+    docs = spark.read.parquet(f"{_enough(sf)}/documents.parquet")
+    some, more = language.fit(docs, sample=80), language.fit(docs, sample=800)
+    texts = sorted({s for r in docs.collect() for s in language.sentences(r["text"]) if len(s) >= 30})
+    assert (some.classify(texts)[0] == more.classify(texts)[0]).mean() > 0.99
+
+
+def test_cosines_are_those_of_the_vectors():
+    texts = ["The lease of the flat", "", "12 34", "y brydles \u201chon\u201d", "\u00c9t\u00e9 \U0001f600 \u0130stanbul stra\u00dfe", "a"]
+    idf, rnd = np.linspace(0.5, 3, 1 << 10), np.random.default_rng(3)
+    m = language.Model(idf, rnd.random((1 << 10, 4)), np.arange(4), np.zeros(7))
+    assert np.allclose(m.cosines(texts), language.similarities(language.vectors(texts, idf), len(texts), m.centroids), atol=1e-5)
 
 
 def test_held_out_accuracy(spark, sf):
     """Trained on one half of the labelled sentences, the other half is told right where labels agree with all neighbours."""
     docs = [r for r in spark.read.parquet(f"{_enough(sf)}/documents.parquet").collect() if r["text"] and language.language_of_label(r["lang"])]
     idf = np.ones(1 << 13)
-    part = lambda k: [(s, language.LANGUAGES.index(language.language_of_label(r["lang"]))) for i, r in enumerate(docs) if i % 2 == k for s in language.sentences(r["text"]) if language.letters(s) >= 30]
+    part = lambda k: [(s, language.LANGUAGES.index(language.language_of_label(r["lang"]))) for i, r in enumerate(docs) if i % 2 == k for s in language.sentences(r["text"]) if len(s) >= 40]
     train, held = part(0), part(1)
     model = language.train([s for s, _ in train], np.array([k for _, k in train]), idf, 3)
     told, _ = model.classify([s for s, _ in held])
