@@ -2,9 +2,10 @@
 
 Nearest-centroid classification. A sentence is the normalised TF-IDF vector of its hashed character
 trigrams (with word ends) and whole words. Every language has several centroids. The labelled sentences
-are clustered first, whatever their labels (spherical k-means); a cluster is named after the label that is
-most over-represented in it, which is the majority where every label has the same number of draws, so
-that wrong labels, however many a rare language has, do not outvote the right ones. Round by round the
+are clustered first, whatever their labels (spherical k-means); the clusters are named by the labels in
+them, with how often each language is labelled as which estimated along with it by
+expectation-maximization, so that wrong labels, however many a rare language has, do not outvote the
+right ones. Round by round the
 languages then take in the sentences that they tell clearly; last, the sentences of each language are
 clustered again, which gives its centroids. A sentence takes the language of the nearest centroid by
 cosine, and none if it lies further away than nearly all held-out sentences of that language do from
@@ -265,19 +266,18 @@ def _rows(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -
 def _cluster(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, dims: int, k: int, rounds: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(group of each row, centroids (features, groups)) by spherical k-means; empty groups are dropped.
 
-    The first centroids are rows far apart from one another: each next is the row least like all before.
+    The first centroids are rows drawn (the same at every run) with the square of their distance from those before.
     """
     row, col, w = sparse
     begin = np.searchsorted(row, np.arange(n + 1))
-    near, seeds, at = np.full(n, -1.0), [], int(n // 2)
+    near, seeds, at, rnd = np.full(n, -1.0), [], int(n // 2), np.random.default_rng(n)
     for _ in range(min(k, n)):
         seeds.append(at)
         one = np.zeros(dims, np.float32)
         one[col[begin[at] : begin[at + 1]]] = w[begin[at] : begin[at + 1]]
         near = np.maximum(near, np.bincount(row, one[col] * w, minlength=n))
-        # not the very furthest, which would be odd ones: one of the outer tenth, at a fixed place
-        order = np.argsort(near, kind="stable")
-        at = int(order[len(order) // 20])
+        far = np.cumsum((1 - np.minimum(near, 1)) ** 2)
+        at = min(int(np.searchsorted(far, rnd.random() * far[-1], "right")), n - 1)
     centre = np.zeros((dims, len(seeds)), np.float32)
     for j, i in enumerate(seeds):
         centre[col[begin[i] : begin[i + 1]], j] = w[begin[i] : begin[i + 1]]
@@ -292,10 +292,36 @@ def _cluster(sparse: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, dims: in
     return group, centre
 
 
-def train(texts: list[str], labels: np.ndarray, idf: np.ndarray, clusters: int, draws: np.ndarray | None = None, seeds: int = 48, leaves: int = 8, rounds: int = 5, quantile: float = 0.002, slack: float = 0.6) -> Model:
+def _named(held: np.ndarray, rates: np.ndarray, right: float = 0.7, strength: float = 50.0, rounds: int = 30, sure: float = 0.9) -> np.ndarray:
+    """The language of each cluster from the labels drawn in it, -1 where they do not tell.
+
+    Expectation-maximization: how often each language is labelled as which is estimated together with the
+    languages of the clusters. It starts from `right` of a language's sentences having its label and the others
+    any label, as frequent as that label is; `rates` are the shares drawn of each label.
+    """
+    n = held.shape[1]
+    volume = held.sum(axis=0) / rates
+    start = rates * (right * np.eye(n) + (1 - right) * volume / max(volume.sum(), 1))
+    start /= start.sum(axis=1, keepdims=True)
+    confusion, prior, post = start, np.full(n, 1 / n), np.zeros((len(held), n))
+    for _ in range(rounds):
+        log = held @ np.log(confusion + 1e-9).T + np.log(prior)
+        new = np.exp(log - log.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        done, post = np.abs(new - post).max() < 1e-6, new
+        if done:
+            break
+        confusion = post.T @ held + strength * start
+        confusion /= confusion.sum(axis=1, keepdims=True)
+        prior = (post.sum(axis=0) + 1) / (len(post) + n)
+    return np.where(post.max(axis=1) >= sure, post.argmax(axis=1), -1)
+
+
+def train(texts: list[str], labels: np.ndarray, idf: np.ndarray, clusters: int, draws: np.ndarray | None = None, rates: np.ndarray | None = None, seeds: int = 48, leaves: int = 8, rounds: int = 5, quantile: float = 0.002, slack: float = 0.6) -> Model:
     """Centroids per language from noisily labelled sentences; labels are language numbers.
 
-    A text may stand there under several labels; `draws` says how often it was drawn under each.
+    A text may stand there under several labels; `draws` says how often it was drawn under each, `rates`
+    which share of the texts of each label was drawn.
     """
     dims, n = len(idf), len(LANGUAGES)
     anchor = _unit(_means(vectors([ANCHORS[k] for k in LANGUAGES], idf), np.arange(n), n, dims))
@@ -307,32 +333,37 @@ def train(texts: list[str], labels: np.ndarray, idf: np.ndarray, clusters: int,
     by_label = np.zeros((len(texts), n))
     np.add.at(by_label, (at, labels), draws)
     sparse = vectors(texts, idf)
-    # clusters of clusters, each named by the label most over-represented in it
-    volume = np.maximum(by_label.sum(axis=0), 1)
+    # clusters of clusters, each named by the labels in it
     group, _ = _cluster(sparse, len(texts), dims, min(seeds, max(n, len(texts) // 4)), rounds)
-    who = np.full(len(texts), -1)
+    leaf = np.zeros(len(texts), np.int64)
     for g in range(int(group.max()) + 1):
         mine = np.flatnonzero(group == g)
-        if not len(mine):
-            continue
-        leaf, _ = _cluster(_rows(sparse, mine), len(mine), dims, max(1, min(leaves, len(mine) // 8)), rounds)
-        held = np.zeros((int(leaf.max()) + 1, n))
-        np.add.at(held, leaf, by_label[mine])
-        who[mine] = (held / volume).argmax(axis=1)[leaf]
+        if len(mine):
+            part, _ = _cluster(_rows(sparse, mine), len(mine), dims, max(1, min(leaves, len(mine) // 8)), rounds)
+            leaf[mine] = part + int(leaf.max()) + 1
+    held = np.zeros((int(leaf.max()) + 1, n))
+    np.add.at(held, leaf, by_label)
+    who = _named(held, np.ones(n) if rates is None else rates)[leaf]
+
+    first = who
+
+    def told(sims: np.ndarray, clear: float = 0.04, backed: float = 0.01) -> np.ndarray:
+        """The nearest language of the texts that are told clearly, or less clearly but as their cluster or a label says.
 
-    def told(sims: np.ndarray, clear: float, labelled: float) -> np.ndarray:
-        """The language of the texts that are told clearly, or less clearly but as a label says; -1 for the others."""
+        A text whose cluster is named otherwise is left out (-1) unless a label says so: an odd text that drifts
+        to a wrong language would draw others after it.
+        """
         best = sims.argmax(axis=1)
         two = np.sort(sims, axis=1)[:, -2:]
         lead = two[:, 1] - two[:, 0]
         agrees = by_label[np.arange(len(texts)), best] > 0
-        return np.where((lead > clear) | (agrees & (lead > labelled)), best, -1)
+        return np.where((lead > backed) & (agrees | (best == first)) | (lead > clear) & (first < 0), best, -1)
 
     for _ in range(rounds):
         centre = _unit(_means(sparse, who, n, dims))
         lost = np.bincount(who[who >= 0], minlength=n) == 0
         centre[:, lost] = anchor[:, lost]
-        now = told(similarities(sparse, len(texts), centre), 0.04, 0.01)
+        now = told(similarities(sparse, len(texts), centre))
         if (now == who).all():
             break
         who = now
@@ -403,7 +434,7 @@ def fit(documents: DataFrame, dims: int = 1 << 15, clusters: int = 3, sample: in
 
     rows = drawn.mapInPandas(pick, "k int, s string").groupBy("k", "s").agg(F.count("*").alias("n")).toPandas()
     rows = rows.sort_values(["k", "s"], kind="stable")
-    return train(rows["s"].tolist(), rows["k"].to_numpy(np.int64), idf, clusters, rows["n"].to_numpy(np.int64))
+    return train(rows["s"].tolist(), rows["k"].to_numpy(np.int64), idf, clusters, rows["n"].to_numpy(np.int64), np.array([share.get(k, 1.0) for k in LANGUAGES]))
 
 
 def _slices(texts: list[str], characters: int = 400_000) -> Iterator[list[str]]:
