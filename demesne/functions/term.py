@@ -1,26 +1,34 @@
-"""Lease terms in free text to start, expiry and tenure, as Catalyst expressions.
+"""Lease terms in free text to start, expiry and tenure.
 
-The grammar is data: each rule names its shape, the role of every group, and how start and expiry
-follow. A rule's match is rewritten, in one pass of its regular expression, into a row of slots with a
-fixed layout; the matches of a term, in rule order, form an array; one builder turns slots into dates,
-and the first that yields complete dates wins. A rule that matches but whose date or number is
-impossible therefore does not stop the search. If nothing is found, the term is tried once more without
-what stands in brackets.
+A term is read in three steps. The lexer turns the repaired text into tokens: dates, feast days with their
+year, tenures, adjustments in days or months, the words that open or close a span, and what stands for
+the date of the lease. Each token has one letter, so a term has a shape such as `TFD` ("99 years from
+25 March 1868"). The rules are patterns over shapes; which rules a shape fits, and which tokens are its
+dates and numbers, is worked out once per shape and kept, and there are few shapes. Last, the rules that fit
+are tried in order on the values of the tokens, and the first that yields complete dates wins; a rule whose
+date or number is impossible does not stop the search. If nothing is found, the term is read once more
+without what stands in brackets.
+
+Reading is Python over Arrow batches: a term costs some microseconds, about half a hundred expressions
+in the plan would cost more. Rows pass through with all their columns, without a shuffle; equal terms of
+a batch are read once. No filter on the result is pushed below the reading, so it is never done twice.
 
 An expiry beyond the year 9999 ends the search with status 'overflow'. NULL and blank terms give NULL.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SEP = "\u0001"
-
-# ---------------------------------------------------------------- normaliser
+# ---------------------------------------------------------------- repairs
 
 #: Ordered (pattern, replacement, ignore case) of the normaliser (fixed values).
 REPAIRS: list[tuple[str, str, bool]] = [
@@ -31,8 +39,8 @@ REPAIRS: list[tuple[str, str, bool]] = [
     (r"Nine hundred and ninety nine", "999", False),
     (r"Two hundred and fifty", "250", False),
     (r"[¼½¾]", "", False),
-    (r"\b(\d{1,2})(?:st|nd|rd|th)\b", "$1", True),
-    (r"\b(\d{1,2})\s+of\s+([A-Za-z]+)\b", "$1 $2", True),
+    (r"\b(\d{1,2})(?:st|nd|rd|th)\b", r"\1", True),
+    (r"\b(\d{1,2})\s+of\s+([A-Za-z]+)\b", r"\1 \2", True),
     (r"\bincluding\s+on\b", "including", True),
     (r"\bto\s+and\s+expiring\b", "expiring", True),
     (r"\ban\s+including\b", "and including", True),
@@ -41,11 +49,15 @@ REPAIRS: list[tuple[str, str, bool]] = [
     (r"\bexpires\b", "expiring", True),
     (r"\bFrom\s*:", "From", True),
     (r"\bTo\s*:", "to", True),
-    (r"\b(\d{1,2}):(\d{1,2}):(\d{4})\b", "$1.$2.$3", False),
+    (r"\b(\d{1,2}):(\d{1,2}):(\d{4})\b", r"\1.\2.\3", False),
     (r"\bles\b", "less", True),
-    (r"\b(?:rom|frm|form)\b", "from", True),
-    (r"\b(?:Januaryu|Jnuary)\b", "January", True),
-    (r"\b(?:Feburary|Febuary)\b", "February", True),
+    (r"\brom\b", "from", True),
+    (r"\bfrm\b", "from", True),
+    (r"\bform\b", "from", True),
+    (r"\bJanuaryu\b", "January", True),
+    (r"\bJnuary\b", "January", True),
+    (r"\bFeburary\b", "February", True),
+    (r"\bFebuary\b", "February", True),
     (r"\bSeptmber\b", "September", True),
     (r"\bNovmber\b", "November", True),
     (r"\bDecmber\b", "December", True),
@@ -53,40 +65,41 @@ REPAIRS: list[tuple[str, str, bool]] = [
     (r"\band\s+including\s+to\s+and\s+including\b", "to and including", True),
     (r"\btherein\s+mentioned\b", "the lease", True),
     (r"\bas\s+the\s+lease\b", "of the lease", True),
-    (r"\bfrom(\d)", "from $1", True),
+    (r"\bfrom(\d)", r"from \1", True),
     (r"\)for\b", ") from", True),
     (r"\bdate\s+hereof\b", "date of the lease", True),
     (r"\bincluding/from\b", "including", True),
-    (r"\b31\s+(June|April|September|November)\b", "30 $1", True),
+    (r"\b31\s+(June|April|September|November)\b", r"30 \1", True),
     (r"\b31[/.](?=4|6|9|11)", "30/", False),
     (r"\s+hereof\s*$", "", True),
     (r"\s+thereof\s*$", "", True),
 ]
 
 
-#: What a lower-case text must hold for some repair to apply: one of the words, or a match.
-_DUE_WORDS = (
-    "residue", "midnight", "and and", "hundred and", "¼", "½", "¾", " of ", "including", " and expiring", "beginning in", "commences", "expires", ":", "januaryu", "jnuary",
-    "feburary", "febuary", "septmber", "novmber", "decmber", "and to and", "therein", "as the lease", ")for", "hereof", "thereof",
-)
-_DUE = r"\d(?:st|nd|rd|th)\b|\b(?:les|rom|frm|form)\b|from\d|\b31[/. ]"
+def _literal(pattern: str) -> str:
+    """A lower-case text that must stand in whatever the pattern matches; empty if none is plain to see."""
+    plain = re.sub(r"\(\?[:=]?[^()]*\)\??|\([^()]*\|[^()]*\)|\[[^]]*\]|\{[^}]*\}|\\.", "\n", pattern)
+    return max(re.findall(r"[a-z0-9 ]+", re.sub(r".[?*+]", "\n", plain).lower()), key=len, default="")
+
+
+_COMPILED = [(re.compile(p, re.I if loose else 0), r, _literal(p)) for p, r, loose in REPAIRS]
+_SPACES = re.compile(r"[\s\u00a0\u2000-\u200a\u202f\u3000]+")
+_DROPPED = dict.fromkeys(map(ord, "´~¨,?"))
+_PAIRS = re.compile(r"\s*\([^)]*\)")
 
 
-def normalise(term: Column) -> Column:
-    t = F.regexp_replace(term, r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+", " ")
-    t = F.translate(F.trim(t), "´~¨,?", "")
-    # most texts hold nothing that any repair looks for, and skip them all
-    low = F.lower(t)
-    due = low.rlike(_DUE)
-    for word in _DUE_WORDS:
-        due |= low.contains(word)
-    fixed = t
-    for pattern, replacement, loose in REPAIRS:
-        fixed = F.regexp_replace(fixed, ("(?i)" if loose else "") + pattern, replacement)
-    return F.trim(F.when(due, fixed).otherwise(t))
+def repaired(term: str) -> str:
+    t = _SPACES.sub(" ", term).strip(" ").translate(_DROPPED)
+    low = t.lower()
+    for pattern, replacement, literal in _COMPILED:
+        if literal in low:
+            new = pattern.sub(replacement, t)
+            if new != t:
+                t, low = new, new.lower()
+    return t.strip(" ")
 
 
-# ---------------------------------------------------------------- grammar
+# ---------------------------------------------------------------- tokens
 
 #: Number words that a term may use (fixed values).
 NUMBER_WORDS = {
@@ -97,117 +110,359 @@ NUMBER_WORDS = {
 #: Quarter and feast days by name: day and month (fixed values).
 FEASTS = {"christmas": (25, 12), "midsummer": (24, 6), "lady": (25, 3), "michaelmas": (29, 9)}
 
-_NUM = rf"(?:\d{{1,6}}(?:,\d{{3}})?|{'|'.join(NUMBER_WORDS)})~?"
-_FRACTION = rf"\d{{1,4}}(?:\s+\d+/\d+)?|\d{{1,4}}\s+and\s+(?:a\s+)?(?:half|quarter)|{_NUM}"
-_FEAST = r"Christmas(?:\s+Day)?|Midsummer(?:\s+Day)?|Lady\s+Day|Michaelmas(?:\s+Day)?"
-_AND_INCL = r"(?:(?:and\s+)?including\s+)?"
-_ON, _THE = r"(?:on\s+)?", r"(?:the\s+)?"
-_FROM = rf"(?:(?:from|commencing|beginning|starting)(?:\s+(?:on|from))?\s*{_AND_INCL}|on\s+and\s+from\s+)"
-_UNTIL = rf"(?:(?:and\s+)?(?:to|until|up\s+to|ending|expiring|terminating)\s*{_ON}{_AND_INCL}{_THE})"
-_TERM = r"(?:a\s+term\s+(?:of\s+)?)?"
-_INCLUSIVE = r"(?:\s*inclusive)?"
-_BY = rf"{_ON}{_AND_INCL}"
-
-#: The layout of a match.
-SLOTS = ("rule", "how", "from", "exclusive", "years", "sd", "sm", "sy", "feast", "feast_year", "ed", "em", "ey", "less", "plus", "less_months", "months")
-
-
-@dataclass(frozen=True)
-class Rule:
-    """shape holds {slot} marks; `how` is the way dates follow, `start` 'dol' if it is the date of the lease."""
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+_MONTH_OF = {name: k for k, m in enumerate(MONTHS, 1) for name in (m, m[:3])}
+
+_NUMBER = rf"(?:(?<!\d)\d{{1,6}}|\b(?:{'|'.join(NUMBER_WORDS)}))"
+_MONTH = rf"(?:{'|'.join(sorted(_MONTH_OF, key=len, reverse=True))})"
+_GAP = r"[./ ]+"
+
+#: Tokens with a value, in the order in which they are looked for.
+_VALUED = {
+    "D": rf"(?<!\d)\d{{1,2}}{_GAP}(?:{_MONTH}|\d{{1,2}}){_GAP}\d{{4}}",  # a date
+    "H": rf"(?<!\d)\d{{1,2}} day of {_MONTH} \d{{4}}",  # a date, spelt out
+    "S": rf"\b(?:{'|'.join(FEASTS)})(?: day)? \d{{4}}",  # a feast day
+    "Q": r"(?<!\d)\d{1,4} (?:\d+/\d+|and (?:a )?(?:half|quarter)) ?years?\b",  # years and a fraction
+    "U": rf"{_NUMBER} ?(?:years?(?:\b|(?=less))|days?\b|months?\b)",  # a number with its unit: T years, d or f (in words) days, m months
+    "J": rf"\b{_MONTH} \d{{4}}(?= |$)",  # a month
+    "g": rf"(?<!\d)\d{{1,2}} {_MONTH}(?= to\b)",  # a day whose year is missing
+}
+#: Phrases without a value: the words, and the letter they have in a shape.
+_PHRASES = [
+    ("on and from", "n"), ("and including", "j"), ("including", "i"), ("inclusive", "k"),
+    ("from on", "w"), ("from from", "v"), ("from", "F"),
+    ("commencing from", "c"), ("beginning from", "c"), ("starting from", "c"),
+    ("commencing on", "C"), ("starting on", "C"), ("commencing", "C"), ("starting", "C"), ("beginning on", "b"), ("beginning", "B"),
+    ("up to", "u"), ("terminating", "u"), ("until", "U"), ("to", "O"), ("expiring", "x"), ("ending", "e"),
+    ("date of this the lease", "L"), ("date of this lease", "L"), ("date of the lease", "L"), ("date of lease", "L"),
+    ("date this the lease", "K"), ("date this lease", "K"), ("date the lease", "K"), ("date lease", "K"),
+    ("expiration of", "G"), ("thereafter", "R"), ("expiry", "X"),
+    ("a term of", "A"), ("a term", "A"), ("term of", "E"), ("term", "E"), ("number of", "I"), ("number", "I"),
+    ("for", "r"), ("less", "l"), ("last", "s"), ("plus", "p"), ("and", "a"), ("the", "t"), ("on", "o"), ("a", "z"), ("years", "y"), ("year", "y"),
+]
+_LETTER = dict(_PHRASES)
+_TOKEN = re.compile("|".join([*(f"(?P<{k}>{v})" for k, v in _VALUED.items()), rf"(?:\b|(?<=years)(?=less)|(?<=year)(?=less))(?P<phrase>{'|'.join(p for p, _ in _PHRASES)})\b", r"(?P<number>\d+)", r"(?P<other>[a-z]+|[^ ])"]))
+
+
+_ZEROS = {ord(str(k)): "0" for k in range(10)}
+
+
+@lru_cache(100_000)
+def _lexed(skeleton: str) -> tuple[str, tuple[tuple[int, int], ...]]:
+    """(shape, place of each token) of a text whose digits are all 0: which digits they are makes no difference."""
+    shape, places, end = [], [], -1
+    for m in _TOKEN.finditer(skeleton):
+        kind, word = m.lastgroup, m.group()
+        if m.start() == end and word[0].isdigit() != skeleton[end - 1].isdigit() and word[0].isalnum() and skeleton[end - 1].isalnum():
+            shape.append("_")
+            places.append((end, end))
+        end = m.end()
+        if kind == "phrase":
+            kind = _LETTER[word]
+        elif kind == "U":
+            kind = "T" if "year" in word else "m" if "month" in word else "d" if word[0] == "0" else "f"
+        elif kind == "number":
+            kind = "N" if len(word) <= 4 else "M" if len(word) <= 6 else "#"
+        elif kind == "other":
+            kind = word if word in "()" else "#"
+        shape.append(kind)
+        places.append(m.span())
+    return "".join(shape), tuple(places)
+
+
+def tokens(text: str) -> tuple[str, str, tuple[tuple[int, int], ...]]:
+    """(shape, text in lower case, place of each token). What is no token has the letter #; _ says that a digit and a letter touch."""
+    low = text.lower()
+    shape, places = _lexed(low.translate(_ZEROS))
+    return shape, low, places
+
+
+# ---------------------------------------------------------------- rules
+
+_OPEN = "(?:[FwvCBbc][ij]?_?|n)"
+_FROM = "[Fcvn][ij]?"
+_CLOSE = "_?a?[OxeUu]_?o?[ij]?t?"
+_BARE = "^r?(?:A|E|z?I)y?[xe]o?[ij]?"
+
+
+class Rule(NamedTuple):
+    """`shape` names its tokens: a start, b end, y tenure, l and p days less and plus, q months less, m months.
+
+    how: stated (all given), span (tenure from the dates), add (start and tenure), back (end and tenure),
+    after (the tenure runs from the second date). A rule by the date of the lease has `dol`. By the day
+    convention, the last day of a term that is added up is the one before the anniversary, but for `exclusive`.
+    """
 
     name: str
     shape: str
-    how: str  # stated | span | add | back | after
-    start: str = "text"
+    how: str
+    dol: bool = False
     exclusive: bool = False
-    words: tuple[str, ...] = ()  # words without which the shape cannot match; they spare the regular expression
-
-    def compiled(self) -> tuple[str, str]:
-        """(regular expression over the whole term, replacement that writes the slots)."""
-        out, groups, rest = "", {}, self.shape
-        n = 0
-        while rest:
-            at = rest.find("{{")
-            if at < 0:
-                out += rest
-                break
-            end = rest.index("}}", at)
-            slot, _, body = rest[at + 2 : end].partition("=")
-            n += 1
-            groups[slot] = n
-            out += rest[:at] + "(" + _BODY.get(body or slot, body) + ")"
-            rest = rest[end + 2 :]
-        anchored = out.startswith("^")
-        regex = "(?is)^" + ("" if anchored else ".*?") + (out[1:] if anchored else out) + (".*$" if not out.endswith("$") else "")
-        fixed = {"rule": self.name, "how": self.how, "from": self.start, "exclusive": "1" if self.exclusive else "", "sd": "1" if self.start == "month" else ""}
-        return regex, SEP + SEP.join(f"${groups[s]}" if s in groups else fixed.get(s, "") for s in SLOTS)
-
-
-_BODY = {
-    "years": _NUM, "less": _NUM, "plus": _NUM, "less_months": _NUM, "months": _NUM, "fraction": _FRACTION, "feast": _FEAST, "feast_year": r"\d{4}",
-    "sd": r"\d{1,2}", "ed": r"\d{1,2}", "sm": r"[A-Za-z]+|\d{1,2}", "em": r"[A-Za-z]+|\d{1,2}", "sy": r"\d{4}", "ey": r"\d{4}", "word": "[A-Za-z]+", "n4": r"\d{1,4}", "n6": r"\d{1,6}",
-}
-_S = r"{{sd}}[./\s]+{{sm}}[./\s]+{{sy}}"
-_E = r"{{ed}}[./\s]+{{em}}[./\s]+{{ey}}"
-_SF = rf"(?:{_S}|{{{{feast}}}}\s+{{{{feast_year}}}})"
-_Y = r"{{years}}\s*years?"
-_LEASE = rf"{_THE}date\s+(?:of\s+)?(?:this\s+)?{_THE}lease"
-_BARE = r"^(?:for\s+)?(?:a\s+)?(?:term|number)(?:\s+of)?(?:\s+years?)?\s+(?:expiring|ending)\s+"
 
+
+#: In order of precedence.
 RULES = [
-    Rule("1", rf"{_TERM}{_Y}\s+{_FROM}{_THE}{_S}{_INCLUSIVE}\s*{_UNTIL}{_E}", "stated", words=('year',)),
-    Rule("2a", rf"{_FROM}{_THE}{_S}\s*[,]?\s*{_UNTIL}{_E}", "span"),
-    Rule("2b", rf"^{_S}\s+(?:to|until|expiring\s+{_BY})\s*{_E}", "span"),
-    Rule("2c", rf"(?:expiring|ending)\s+{_BY}{_E}\s+from\s+{_AND_INCL}{_S}", "span", words=('from',)),
-    Rule("2d", rf"from\s+{_AND_INCL}{_S}\s+(?:for\s+(?:a\s+)?term\s+(?:of\s+)?)?years??\s*expiring\s+{_BY}{_E}", "span", words=('from', 'expiring', 'year')),
-    Rule("2e", rf"from\s+{_AND_INCL}{_S}\s+and\s+expiring\s+on\s+the\s+expiration\s+of\s+{_Y}\s+from\s+{_E}", "after", words=('expiration',)),
-    Rule(
-        "3a",
-        rf"^{_TERM}{{{{years=fraction}}}}\s*years?(?:(?:\s*\(?less\s+{_THE}(?:last\s+)?{{{{less}}}}\s+days?\)?)?|(?:\s+(?:plus|and)\s+{{{{plus}}}}\s+days?)?|(?:\s+less\s+{{{{less_months}}}}\s+months?)?)?\s+{_FROM}{_THE}{_SF}",
-        "add",
-        exclusive=True,
-    ),
-    Rule("3b", rf"from\s+{_AND_INCL}{_S}\s+for\s+{_THE}term\s+(?:of\s+)?{_Y}(?:\s+less\s+{_THE}(?:last\s+)?{{{{less}}}}\s+days?)?", "add", exclusive=True, words=('from', 'for', 'term')),
-    Rule("3c", rf"^{_TERM}{_Y}\s*(?:and\s+)?{{{{months}}}}\s+months?\s*{_FROM}{_THE}{_S}", "add", exclusive=True, words=('month',)),
-    Rule("4a", rf"^(?:from\s+{_AND_INCL})?{_TERM}{_Y}\s+{_FROM}{_THE}{_SF}", "add"),
-    Rule("4b", rf"(?:commencing|beginning|starting)\s+{_BY}{_S}\s+(?:for\s+(?:a\s+)?term\s+(?:of\s+)?)?{_Y}", "add"),
-    Rule("4c", rf"from\s+{_AND_INCL}{_S}\s+for\s+(?:a\s+term\s+(?:of\s+)?)?{_Y}", "add", words=('from', 'for', 'year')),
-    Rule("4d", rf"^{_TERM}{_Y}\s+(?:expiring|to)\s+{_BY}{_E}", "back", words=('year',)),
-    Rule("4e", rf"{_FROM}{_THE}{_S}\s+and\s+(?:expiring|expiry)\s+{_Y}\s+thereafter", "add", words=('thereafter',)),
-    Rule("4f", rf"^{_TERM}{_Y}\s+(?:from|commencing|beginning|starting)(?:\s+(?:on|from))?\s*(?:and\s+including\s+)?{{{{sm=word}}}}\s+{{{{sy}}}}(?:\s*$|\s)", "add", "month", words=('year',)),
-    Rule("5a", rf"^{_TERM}{_Y}\s+{_S}", "add", words=('year',)),
-    Rule("5b", rf"^{{{{years=n4}}}}\s+from\s+{_THE}{_AND_INCL}{_S}", "add", words=('from',)),
-    Rule("5c", rf"^{{{{years=n6}}}}\s+(?:less\s+{{{{less}}}}|and\s+{{{{plus}}}})\s+days?\s+{_FROM}{_THE}{_S}", "add", exclusive=True, words=('day',)),
-    Rule("6a", rf"^{_TERM}{_Y}\s+(?:from|commencing|beginning|starting)(?:\s+on)?\s+{_LEASE}", "add", "dol", words=('lease',)),
-    Rule("6b1", rf"{_BARE}{_BY}{_THE}{{{{ed}}}}\s+day\s+of\s+{{{{em=word}}}}\s+{{{{ey}}}}", "span", "dol", words=('day of',)),
-    Rule("6b2", rf"{_BARE}{_BY}{_E}", "span", "dol"),
-    Rule("6c", rf"^(?:expiring|ending)\s+{_BY}{_E}$", "span", "dol"),
-    Rule("6d", rf"^{_TERM}{{{{years}}}}\s*years??(?:\s*\(?\s*less\s+{_NUM}\s+days?\s*\)?)?$", "add", "dol"),
-    Rule("6d2", r"^{{years=n4}}\s*\(\s*less\s+\d+\s+days?\s*\)$", "add", "dol", words=('less',)),
-    Rule("6e", rf"^{_TERM}{_Y}\s+(?:from|commencing|beginning|starting)(?:\s+(?:on|from))?(?:\s+and\s+including)?$", "add", "dol"),
-    Rule("6f", rf"beginning\s+on[,]?\s*{_AND_INCL}{_THE}date\s+of\s+(?:this\s+)?(?:the\s+)?lease\s+{_UNTIL}{_E}", "span", "dol", words=('beginning', 'lease')),
-    Rule("6f2", rf"from\s+{_AND_INCL}{_LEASE}\s+(?:up\s+to|{_UNTIL})\s*{_E}", "span", "dol", words=('from', 'lease')),
-    Rule("6g", rf"from\s+{_AND_INCL}{{{{sd}}}}\s+{{{{sm=word}}}}\s+to\s+{_AND_INCL}{_E}", "span", "year of dol", words=('from', 'to')),
-    Rule("6h", rf"^{_E}$", "span", "dol"),
+    Rule("1", f"(?P<y>[TQ]){_OPEN}t?(?P<a>D)k?{_CLOSE}(?P<b>D)", "stated"),
+    Rule("2a", f"{_OPEN}t?(?P<a>D){_CLOSE}(?P<b>D)", "span"),
+    Rule("2b", "^(?P<a>D)_?(?:[OU]_?|xo?[ij]?)(?P<b>D)", "span"),
+    Rule("2c", "[xe]o?[ij]?(?P<b>D)F[ij]?(?P<a>D)", "span"),
+    Rule("2d", f"{_FROM}(?P<a>D)(?:r[AE])?yxo?[ij]?(?P<b>D)", "span"),
+    Rule("2e", f"{_FROM}(?P<a>D)axotG(?P<y>T)F(?P<b>D)", "after"),
+    Rule("3a", rf"^A?(?P<y>[TQ])(?:\(?lt?s?(?P<l>[df])\)?|[pa](?P<p>[df])|l(?P<q>m))?{_OPEN}t?(?P<a>[DS])", "add", exclusive=True),
+    Rule("3b", f"{_FROM}(?P<a>D)rt?E(?P<y>T)(?:lt?s?(?P<l>[df]))?", "add", exclusive=True),
+    Rule("3c", f"^A?(?P<y>T)a?(?P<m>m){_OPEN}t?(?P<a>D)", "add", exclusive=True),
+    Rule("4a", f"^(?:F[ij]?)?A?(?P<y>T){_OPEN}t?(?P<a>[DS])", "add"),
+    Rule("4b", "[CBb][ij]?(?P<a>D)(?:r[AE])?(?P<y>T)", "add"),
+    Rule("4c", f"{_FROM}(?P<a>D)rA?(?P<y>T)", "add"),
+    Rule("4d", "^A?(?P<y>T)[xO]o?[ij]?(?P<b>D)", "back"),
+    Rule("4e", f"{_OPEN}t?(?P<a>D)a[xX](?P<y>T)R", "add"),
+    Rule("4f", "^A?(?P<y>T)[FwvCBbc]j?(?P<a>J)", "add"),
+    Rule("5a", "^A?(?P<y>T)(?P<a>D)", "add"),
+    Rule("5b", "^(?P<y>N)Ft?[ij]?(?P<a>D)", "add"),
+    Rule("5c", f"^(?P<y>[NM])(?:l(?P<l>[df])|a(?P<p>[df])){_OPEN}t?(?P<a>D)", "add", exclusive=True),
+    Rule("6a", "^A?(?P<y>T)[FwCBb]t?[LK]", "add", dol=True),
+    Rule("6b1", f"{_BARE}t?(?P<b>H)", "span", dol=True),
+    Rule("6b2", f"{_BARE}(?P<b>D)", "span", dol=True),
+    Rule("6c", "^[xe]o?[ij]?(?P<b>D)$", "span", dol=True),
+    Rule("6d", r"^A?(?P<y>T)(?:\(?l[df]\)?)?$", "add", dol=True),
+    Rule("6d2", r"^(?P<y>N)\(ld\)$", "add", dol=True),
+    Rule("6e", "^A?(?P<y>T)[FwvCBbc]j?$", "add", dol=True),
+    Rule("6f", f"b[ij]?t?L{_CLOSE}(?P<b>D)", "span", dol=True),
+    Rule("6f2", f"{_FROM}t?[LK]{_CLOSE}(?P<b>D)", "span", dol=True),
+    Rule("6g", f"{_FROM}(?P<a>g)O[ij]?(?P<b>D)", "span", dol=True),
+    Rule("6h", "^(?P<b>D)$", "span", dol=True),
 ]
+_SHAPES = [re.compile(r.shape) for r in RULES]
+
+
+@lru_cache(100_000)
+def fitting(shape: str) -> tuple[tuple[Rule, dict[str, int]], ...]:
+    """The rules that fit a shape, in order, each with the places of its tokens."""
+    out = []
+    for rule, pattern in zip(RULES, _SHAPES, strict=True):
+        if m := pattern.search(shape):
+            out.append((rule, {k: m.start(k) for k, v in m.groupdict().items() if v is not None}))
+    return tuple(out)
 
 
 # ---------------------------------------------------------------- dates and numbers
 
+Day = tuple[int, int, int]  # year, month, day
+_LENGTHS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
+
+
+def _length(y: int, m: int) -> int:
+    return 29 if m == 2 and y % 4 == 0 and (y % 100 != 0 or y % 400 == 0) else _LENGTHS[m - 1]
+
+
+def day(y: int, m: int, d: int) -> Day | None:
+    return (y, m, d) if y >= 1 and 1 <= m <= 12 and 1 <= d <= _length(y, m) else None
+
+
+def number_of(x: Day) -> int:
+    """Days since 1970-01-01, for any year."""
+    y, m, d = x
+    y -= m <= 2
+    era, m = y // 400, m + (9 if m <= 2 else -3)
+    in_era = y - era * 400
+    return era * 146_097 + in_era * 365 + in_era // 4 - in_era // 100 + (153 * m + 2) // 5 + d - 719_469
+
+
+def day_of(n: int) -> Day:
+    n += 719_468
+    era, n = divmod(n, 146_097)
+    y = (n - n // 1460 + n // 36_524 - n // 146_096) // 365
+    n -= 365 * y + y // 4 - y // 100
+    k = (5 * n + 2) // 153
+    m = k + (3 if k < 10 else -9)
+    return y + era * 400 + (m <= 2), m, n - (153 * k + 2) // 5 + 1
+
+
+def add_months(x: Day, months: int) -> Day:
+    y, m = divmod(x[0] * 12 + x[1] - 1 + months, 12)
+    return y, m + 1, min(x[2], _length(y, m + 1))
+
+
+def whole_number(text: str) -> int | None:
+    """Any digits in the text, run together; else a number word."""
+    digits = re.sub(r"\D", "", text)
+    if digits:
+        n = int(digits)
+        return n if n < 1 << 31 else None
+    word = re.match(r"[a-z]*", text)
+    return NUMBER_WORDS.get(word.group())
+
+
+def years_of(text: str) -> float | None:
+    """The years of a tenure: n a/b, n and a half or quarter, else a whole number."""
+    head = text[: text.rindex("year")].strip()
+    if head.isdigit():
+        return float(head)
+    n = re.match(r"(\d+) (?:(\d+)/(\d+)|and (?:a )?(half|quarter))$", head)
+    if n and n.group(4):
+        return int(n.group(1)) + (0.5 if n.group(4) == "half" else 0.25)
+    if n and int(n.group(3)):
+        return int(n.group(1)) + int(n.group(2)) / int(n.group(3))
+    whole = whole_number(head)
+    return None if whole is None else float(whole)
+
+
+_SPLIT = re.compile(r"[./ ]+")
+
 
-def parse_date(d: Column, m: Column, y: Column) -> Column:
-    """Day, month by name, abbreviation or number, and year; impossible dates give NULL."""
-    text, numeric = F.concat_ws(" ", d, m, y), F.concat_ws("/", d, m, y)
-    out = F.when(m.rlike(r"^\d"), F.try_to_date(numeric, "d/M/yyyy")).otherwise(F.coalesce(F.try_to_date(text, "d MMMM yyyy"), F.try_to_date(text, "d MMM yyyy")))
-    return F.when((d != "") & (F.year(out) >= 1), out)
+def date_of(kind: str, text: str, dol: Day | None) -> Day | None:
+    """The day of a token: D and H in full, S a feast, J the first of a month, g in the year of the date of the lease."""
+    p = _SPLIT.split(text)
+    if kind == "D":
+        return day(int(p[2]), int(p[1]) if p[1].isdigit() else _MONTH_OF[p[1]], int(p[0]))
+    if kind == "S":
+        d, m = FEASTS[p[0]]
+        return day(int(p[-1]), m, d)
+    if kind == "J":
+        return day(int(p[1]), _MONTH_OF[p[0]], 1)
+    if kind == "H":
+        return day(int(p[4]), _MONTH_OF[p[3]], int(p[0]))
+    return day(dol[0], _MONTH_OF[p[1]], int(p[0])) if dol else None
 
 
-def parse_dol(dol: Column) -> Column:
+_DOL = re.compile(r"(\d{1,2})([-/.])(\d{1,2})\2(\d{4})")
+
+
+def read_dol(dol: str | None) -> Day | None:
     """Date of the lease: d-m-y with dash, slash or full stop."""
-    t = F.trim(dol)
-    out = F.when(t.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.try_to_date(t, "d-M-yyyy")).when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(t, "d/M/yyyy")).when(t.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), F.try_to_date(t, "d.M.yyyy"))
-    return F.when(F.year(out) >= 1, out)
+    m = _DOL.fullmatch(dol.strip(" ")) if dol else None
+    return day(int(m.group(4)), int(m.group(3)), int(m.group(1))) if m else None
+
+
+def whole_years(start: Day, expiry: Day) -> int:
+    """Years from start to expiry, rounded up from eleven months and a day, or if 30 days more complete a year."""
+
+    def months(until: Day) -> int:
+        k = (until[0] - start[0]) * 12 + until[1] - start[1]
+        if until >= start:
+            return k - (until < add_months(start, k))
+        return k + (until > add_months(start, k))
+
+    k = months(expiry)
+    up = int(k / 12)
+    if abs(k) % 12 == 11 and k > 0 and number_of(expiry) - number_of(add_months(start, k)) >= 1:
+        up += 1
+    return max(up, int(months(day_of(number_of(expiry) + 30)) / 12))
+
+
+# ---------------------------------------------------------------- reading
+
+
+class Parsed(NamedTuple):
+    start: int | None  # days since 1970
+    expiry: int | None
+    tenure: float | None
+    pattern: str
+    status: str
+
+
+def _apply(rule: Rule, at: dict[str, int], shape: str, low: str, places: tuple[tuple[int, int], ...], dol: Day | None, default_day: int) -> Parsed | None:
+    def part(k: str) -> str:
+        begin, end = places[at[k]]
+        return low[begin:end]
+
+    def date(k: str) -> Day | None:
+        return date_of(shape[at[k]], part(k), dol) if k in at else None
+
+    def number(k: str) -> int | None:
+        return whole_number(part(k)) if k in at else 0
+
+    a = dol if rule.dol and "a" not in at else date("a")
+    if a is None and rule.how != "back":
+        return None
+    b, tenure = date("b"), None
+    if "y" in at:
+        text, kind = part("y"), shape[at["y"]]
+        if kind == "Q" and rule.how == "stated":  # this rule may begin anywhere, and sees the number next to the word alone
+            text = text[text.find("/") + 1 :] if "/" in text else "years"
+        tenure = years_of(text) if kind in "TQ" else float(text)
+        if tenure is None or tenure <= 0:
+            return None
+    if rule.how in ("add", "after", "back"):
+        if rule.how != "add" and b is None:
+            return None
+        whole = int(tenure)
+        less, plus, less_months, months = number("l"), number("p"), number("q"), number("m")
+        if months is None:
+            return None
+        step = min(whole * 12 + round((tenure - whole) * 12) + months, 240_000)
+        if rule.how == "back":
+            a = add_months(b, -step)
+        else:
+            moved = number_of(add_months(a if rule.how == "add" else b, step))
+            moved += (plus or 0) - ((less or 0) if rule.exclusive else default_day)
+            b = add_months(day_of(moved), -(less_months or 0))
+    if b is None:
+        return None
+    if b[0] > 9999 or a[0] < 1:
+        return Parsed(None, None, None, rule.name, "overflow")
+    if rule.how == "span":
+        tenure = float(whole_years(a, b))
+    return Parsed(number_of(a), number_of(b), tenure, rule.name, "parsed")
+
+
+def _read(text: str, dol: Day | None, default_day: int) -> Parsed | None:
+    shape, low, places = tokens(text)
+    for rule, at in fitting(shape):
+        if (not rule.dol or dol) and (found := _apply(rule, at, shape, low, places, dol, default_day)):
+            return found
+    return None
+
+
+def read_term(term: str | None, dol: str | None = None, default_day: int = 1) -> Parsed | None:
+    """One term; None if it says nothing."""
+    text = repaired(term) if term else ""
+    if not text:
+        return None
+    when = read_dol(dol)
+    found = _read(text, when, default_day)
+    if found is None and "(" in text:
+        bare = _PAIRS.sub("", text).strip(" ")
+        if bare and bare != text and (bare := repaired(bare)):
+            found = _read(bare, when, default_day)
+    return found
+
+
+PARSED = T.StructType([T.StructField("start", T.DateType()), T.StructField("expiry", T.DateType()), T.StructField("tenure", T.DoubleType()), T.StructField("pattern", T.StringType()), T.StructField("status", T.StringType())])
+
+
+def _as_struct(found: list[Parsed | None]) -> pa.StructArray:
+    column = lambda k, kind: pa.array([x and x[k] for x in found], kind)
+    fields = [column(0, pa.int32()).cast(pa.date32()), column(1, pa.int32()).cast(pa.date32()), column(2, pa.float64()), column(3, pa.string()), column(4, pa.string())]
+    return pa.StructArray.from_arrays(fields, [f.name for f in PARSED], mask=pa.array([x is None for x in found]))
+
+
+def with_parsed_term(df: DataFrame, term: str = "term", dol: str = "dol", out: str = "parsed", day_convention: str = "as_coded") -> DataFrame:
+    """df with `out`: struct<start, expiry, tenure, pattern, status>, NULL where the term says nothing.
+
+    day_convention 'exclusive' removes no default day from computed expiries. Every column of df passes through
+    the reading, so select first what is needed.
+    """
+    default_day = {"as_coded": 1, "exclusive": 0}[day_convention]
+    keep = [c for c in df.columns if c != out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            known: dict[tuple, Parsed | None] = {}
+            found = []
+            for key in zip(b.column(term_at).to_pylist(), b.column(dol_at).to_pylist(), strict=True):
+                if key not in known:
+                    known[key] = read_term(*key, default_day)
+                found.append(known[key])
+            yield pa.RecordBatch.from_arrays([*b.columns, _as_struct(found)], names=[*b.schema.names, out])
+
+    given = df.select(*keep)
+    term_at, dol_at = keep.index(term), keep.index(dol)
+    schema = T.StructType([*given.schema.fields, T.StructField(out, PARSED)])
+    return given.mapInArrow(run, schema)
+
+
+# ---------------------------------------------------------------- as expressions
 
 
 def feast_date(name: Column, year: Column) -> Column:
@@ -218,22 +473,6 @@ def feast_date(name: Column, year: Column) -> Column:
     return out
 
 
-def whole_number(text: Column) -> Column:
-    """Any digits in the text, run together; else a number word; else NULL."""
-    digits = F.regexp_replace(text, r"\D", "")
-    words = F.str_to_map(F.lit(",".join(f"{w}:{n}" for w, n in NUMBER_WORDS.items())), F.lit(","), F.lit(":"))
-    return F.when(digits != "", digits.try_cast("int")).otherwise(F.try_element_at(words, F.lower(F.trim(text))).cast("int"))
-
-
-def fractional_number(text: Column) -> Column:
-    """n a/b, n and a half or quarter, else a whole number."""
-    low = F.lower(F.trim(text))
-    n = F.regexp_extract(low, r"^(\d+)", 1).try_cast("double")
-    a, b = (F.regexp_extract(low, r"^\d+\s+(\d+)/(\d+)$", k).try_cast("double") for k in (1, 2))
-    part = F.when(low.rlike(r"^\d+\s+and\s+(a\s+)?half$"), 0.5).when(low.rlike(r"^\d+\s+and\s+(a\s+)?quarter$"), 0.25).when(b > 0, F.try_divide(a, b))
-    return F.coalesce(n + part, whole_number(text).cast("double"))
-
-
 def tenure_between(start: Column, expiry: Column) -> Column:
     """Whole years from start to expiry, rounded up from eleven months and a day, or if 30 days more complete a year."""
 
@@ -250,115 +489,3 @@ def tenure_between(start: Column, expiry: Column) -> Column:
     days = F.datediff(expiry, F.add_months(start, k))
     up = years(k) + F.when((k % 12 == 11) & (days >= 1), 1).otherwise(0)
     return F.greatest(up, years(months(F.date_add(expiry, 30)))).cast("double")
-
-
-def _let(array: Column, *steps) -> Column:
-    """Each step over every element in turn; what a step computes is bound once for the next."""
-    for step in steps:
-        array = F.transform(array, step)
-    return array
-
-
-def _read(dol: Column, inclusive_day: int):
-    """Slots to typed values."""
-
-    def step(g: Column) -> Column:
-        slot = {s: F.get(g, F.lit(i + 1)) for i, s in enumerate(SLOTS)}
-        sy = F.when(slot["from"] == "year of dol", F.year(dol).cast("string")).otherwise(slot["sy"])
-        start = F.when(slot["from"] == "dol", dol).when(slot["feast"] != "", feast_date(slot["feast"], slot["feast_year"])).otherwise(parse_date(slot["sd"], slot["sm"], sy))
-        years = F.when(slot["rule"] == "3a", fractional_number(slot["years"])).when(slot["years"] != "", whole_number(slot["years"]).cast("double"))
-        number = {s: F.when(slot[s] != "", whole_number(slot[s])) for s in ("less", "plus", "less_months", "months")}
-        zero = F.lit(0)
-        less = F.when(slot["exclusive"] != "", F.coalesce(number["less"], zero)).otherwise(F.lit(inclusive_day))
-        return F.struct(
-            slot["rule"].alias("rule"),
-            slot["how"].alias("how"),
-            start.alias("a"),
-            parse_date(slot["ed"], slot["em"], slot["ey"]).alias("b"),
-            F.when(F.when(slot["rule"] == "3c", number["months"].isNotNull()).otherwise(F.lit(True)), years).alias("years"),
-            (F.coalesce(number["plus"], zero) - less).alias("days"),
-            F.coalesce(number["less_months"], zero).alias("less_months"),
-            F.coalesce(number["months"], zero).alias("months"),
-        )
-
-    return step
-
-
-def _span(x: Column) -> Column:
-    """The months of the stated number of years."""
-    years = F.when(x["years"] > 0, x["years"])
-    whole = F.floor(years)
-    months = F.least(whole * 12 + F.bround((years - whole) * 12) + x["months"], F.lit(12 * 20_000)).cast("int")
-    return F.struct(x["rule"].alias("rule"), x["how"].alias("how"), x["a"].alias("a"), x["b"].alias("b"), years.alias("years"), months.alias("step"), x["days"].alias("days"), x["less_months"].alias("less_months"))
-
-
-def _place(x: Column) -> Column:
-    """Start and expiry."""
-
-    def after(base: Column) -> Column:
-        return F.add_months(F.date_add(F.add_months(base, x["step"]), x["days"]), -x["less_months"])
-
-    how = x["how"]
-    first = F.when(how == "back", F.add_months(x["b"], -x["step"])).otherwise(x["a"])
-    last = F.when(how == "add", after(x["a"])).when((how == "after") & x["a"].isNotNull(), after(x["b"])).otherwise(x["b"])
-    return F.struct(x["rule"].alias("rule"), how.alias("how"), first.alias("a"), last.alias("b"), x["years"].alias("years"))
-
-
-def _finish(x: Column) -> Column:
-    """The result, NULL if it is incomplete."""
-    tenure = F.when(x["how"] == "span", tenure_between(x["a"], x["b"])).otherwise(x["years"])
-    over = (F.year(x["b"]) > 9999) | (F.year(x["a"]) < 1)
-    return F.when(
-        x["a"].isNotNull() & x["b"].isNotNull() & ((x["how"] == "span") | x["years"].isNotNull()),
-        F.struct(
-            F.when(~over, x["a"]).alias("start"),
-            F.when(~over, x["b"]).alias("expiry"),
-            F.when(~over, tenure).alias("tenure"),
-            x["rule"].alias("pattern"),
-            F.when(over, "overflow").otherwise("parsed").alias("status"),
-        ),
-    )
-
-
-def _matches(term: Column, rules: list[Rule]) -> Column:
-    """The slots of every rule that matches, in rule order."""
-    low = F.lower(term)
-    rows = []
-    for r in rules:
-        regex, replacement = r.compiled()
-        row = F.regexp_replace(term, regex, replacement)
-        if r.words:
-            able = low.contains(r.words[0])
-            for w in r.words[1:]:
-                able &= low.contains(w)
-            row = F.when(able, row)
-        rows.append(row)
-    hit = F.filter(F.array(*rows), lambda s: s.startswith(SEP))
-    return F.transform(hit, lambda s: F.split(s, SEP))
-
-
-@lru_cache(4)
-def _parsed(day: int) -> Column:
-    """The result over the columns _t1, _t2 and _dol; building the expression takes longer than planning it."""
-
-    def first(term: str, rules: list[Rule]) -> Column:
-        built = _let(_matches(F.col(term), rules), _read(F.col("_dol"), day), _span, _place, _finish)
-        return F.try_element_at(F.filter(built, lambda s: s.isNotNull()), F.lit(1))
-
-    # coalesce stops at the first group that settles the term; most are settled by the first
-    return F.coalesce(first("_t1", RULES[:9]), first("_t1", RULES[9:18]), F.when(F.col("_dol").isNotNull(), first("_t1", RULES[18:])), F.when(F.col("_t2").isNotNull(), first("_t2", RULES)))
-
-
-def with_parsed_term(df: DataFrame, term: str = "term", dol: str = "dol", out: str = "parsed", day_convention: str = "as_coded") -> DataFrame:
-    """df with `out`: struct<start, expiry, tenure, pattern, status>, NULL where the term says nothing.
-
-    day_convention 'exclusive' removes no default day from computed expiries.
-    """
-    keep = df.columns
-    t = df.withColumn("_dol", parse_dol(F.col(dol))).withColumn("_t0", F.trim(F.regexp_replace(F.col(term), r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]+", " ")))
-    t = t.withColumn("_t1", F.nullif(normalise(F.col("_t0")), F.lit("")))
-    t = t.withColumn("_bare", F.trim(F.regexp_replace("_t1", r"\s*\([^)]*\)", "")))
-    t = t.withColumn("_t2", F.when((F.col("_bare") != F.col("_t1")) & (F.col("_bare") != ""), normalise(F.col("_bare"))))
-    # rand() keeps the optimizer from pushing filters on the result below it, which would copy this expression many times
-    parsed = F.when(F.rand(0) >= 0, _parsed({"as_coded": 1, "exclusive": 0}[day_convention]))
-    return t.withColumn(out, parsed).select(*keep, out)

@@ -21,9 +21,9 @@ def expanded(gazetteer: DataFrame, id_column: str = "id") -> DataFrame:
 
 
 def unique_uprn(gazetteer: DataFrame) -> DataFrame:
-    """One entry per uprn, the one with the lowest id."""
-    k = F.row_number().over(Window.partitionBy("uprn").orderBy("id"))
-    return gazetteer.filter("uprn IS NOT NULL").withColumn("k", k).filter("k = 1").drop("k")
+    """One entry per uprn, the later one (with the highest id)."""
+    g = gazetteer.filter("uprn IS NOT NULL")
+    return g.groupBy("uprn").agg(F.max_by(F.struct(*g.columns), "id").alias("_g")).select("_g.*")
 
 
 def route(uprn: Column, pc: Column, city: Column) -> Column:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demesne.functions.term import FEASTS, feast_date, normalise
+from demesne.functions.term import FEASTS, feast_date, repaired
 from demesne.functions.validate import findings, is_valid
 
 PROMPT = "parse lease: "
@@ -37,13 +37,12 @@ def parse_output(text: Column) -> Column:
 def with_model(df: DataFrame, term: str, predict: Callable[[list[str]], list[str]], reference: Column, out: str = "model") -> DataFrame:
     """df with `out`: struct(start, expiry, tenure, valid) by the model."""
     keep = df.columns
-    prompted = df.withColumn("_prompt", F.concat(F.lit(PROMPT), normalise(F.col(term))))
 
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for prompts in batches:
-            yield pd.Series(predict(prompts.fillna("").tolist()), dtype=object)
+        for terms in batches:
+            yield pd.Series(predict([PROMPT + repaired(t or "") for t in terms]), dtype=object)
 
-    said = prompted.withColumn("_said", parse_output(answer("_prompt")))
+    said = df.withColumn("_said", parse_output(answer(F.col(term))))
     ok = is_valid(findings(F.col("_said.start"), F.col("_said.expiry"), F.col("_said.tenure"), reference))
     return said.withColumn(out, F.struct("_said.start", "_said.expiry", "_said.tenure", ok.alias("valid"))).select(*keep, out)

@@ -5,43 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from demesne.common import cut, table
+from demesne.common import table
 from demesne.functions import dates, geo, text
-from demesne.functions.term import with_parsed_term
-from demesne.functions.validate import findings, is_valid
+from demesne.functions.validate import findings
 from demesne.operators import analytics, delta, match
-from demesne.operators.model_hook import with_model
 from demesne.operators.spatial import containing_regions, position
 from demesne.plans.integrity import P2_CTE
+from demesne.plans.records import EXT_CTE as _EXT, LEASES_CTE, REFERENCE, ext as _ext, leases as _leases, ref as _ref
 from demesne.plans.registry import Registry
+from demesne.plans.terms import codes_sql
 
 REGISTRY = Registry()
 add = REGISTRY.add
-#: Reference dates are literals: results must not depend on the day of the run.
-REFERENCE = "2026-06-30"
-
-
-def _ref():
-    return F.lit(REFERENCE).cast("date")
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one task per core for work that costs far more than reading; a split input keeps its splits."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= n else df.repartition(n)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
 
 
-def _ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per record: repeated deliveries collapse."""
-    e = _t(spark, sf_dir, "leasesext")
-    return e.groupBy("_id").agg(F.min("uid").alias("uid"), F.min("lid").alias("lid"), F.min("st").alias("st"), F.min("exp").alias("exp"), F.min("ty").alias("ty"), F.min(F.trim("cl")).alias("cl"), F.min("apc").alias("apc"), F.min("aup").alias("aup"))
-
-
-_EXT = "ext AS (SELECT _id, min(uid) AS uid, min(lid) AS lid, min(st) AS st, min(exp) AS exp, min(ty) AS ty, min(trim(cl)) AS cl, min(apc) AS apc, min(aup) AS aup FROM leasesext GROUP BY 1)"
 _YEARS = f"date_diff('day', DATE '{REFERENCE}', exp) / 365.25"
 
 # ---------------------------------------------------------------- scans, projections, filters
@@ -76,10 +57,10 @@ def proj_short_keys(spark, d):
 
 @add(
     "flt_postcodes_differ",
-    f"WITH {_EXT}, l AS (SELECT _id, min(pc) AS pc FROM leases GROUP BY 1) SELECT e._id AS ext_id, l.pc, e.apc, coalesce(l.pc, e.apc) AS filled FROM ext e JOIN l ON e.lid = l._id WHERE l.pc <> e.apc OR l.pc IS NULL AND e.apc IS NOT NULL",
+    f"WITH {_EXT}, {LEASES_CTE}, l AS (SELECT _id, pc FROM lease) SELECT e._id AS ext_id, l.pc, e.apc, coalesce(l.pc, e.apc) AS filled FROM ext e JOIN l ON e.lid = l._id WHERE l.pc <> e.apc OR l.pc IS NULL AND e.apc IS NOT NULL",
 )
 def flt_postcodes_differ(spark, d):
-    leases = _t(spark, d, "leases").groupBy("_id").agg(F.min("pc").alias("pc"))
+    leases = _leases(spark, d).select("_id", "pc")
     j = _ext(spark, d).withColumnRenamed("_id", "ext_id").join(leases, F.col("lid") == leases["_id"])
     return j.filter((F.col("pc") != F.col("apc")) | (F.col("pc").isNull() & F.col("apc").isNotNull())).select("ext_id", "pc", "apc", F.coalesce("pc", "apc").alias("filled"))
 
@@ -116,9 +97,9 @@ def flt_compound(spark, d):
     return e.filter(F.col("apc").startswith("QA1") & F.col("cl").startswith("R") & (F.col("ty") <= 125) & F.col("exp").between("2030-01-01", "2120-12-31")).select("_id", "apc", "cl", "ty", "exp")
 
 
-@add("flt_active_short", f"WITH {_EXT} SELECT count(*) AS n FROM ext WHERE ty < 90 AND exp > DATE '{REFERENCE}'")
+@add("flt_active_short", f"WITH {_EXT} SELECT count(*) AS n FROM ext WHERE ty < 21 AND exp > DATE '{REFERENCE}'")
 def flt_active_short(spark, d):
-    return _ext(spark, d).filter((F.col("ty") < 90) & (F.col("exp") > _ref())).agg(F.count("*").alias("n"))
+    return _ext(spark, d).filter((F.col("ty") < 21) & (F.col("exp") > _ref())).agg(F.count("*").alias("n"))
 
 
 @add("flt_route", "SELECT CASE WHEN uprn IS NOT NULL THEN 'uprn' WHEN pc IS NOT NULL THEN 'pc' WHEN cty IS NOT NULL THEN 'city' ELSE 'none' END AS route, count(*) AS n FROM leases GROUP BY 1")
@@ -135,7 +116,7 @@ def proj_version(spark, d):
 # ---------------------------------------------------------------- joins
 
 
-@add("join_uprn", "WITH g AS (SELECT uprn, min(id) AS gid FROM ab_plus GROUP BY 1) SELECT DISTINCT l._id AS lease_id, g.gid FROM leases l JOIN g USING (uprn)")
+@add("join_uprn", "WITH g AS (SELECT uprn, max(id) AS gid FROM ab_plus GROUP BY 1) SELECT DISTINCT l._id AS lease_id, g.gid FROM leases l JOIN g USING (uprn)")
 def join_uprn(spark, d):
     g = match.unique_uprn(_t(spark, d, "ab_plus")).select("uprn", F.col("id").alias("gid"))
     return _t(spark, d, "leases").join(g, "uprn").select(F.col("_id").alias("lease_id"), "gid").distinct()
@@ -147,7 +128,7 @@ _NUMBER = r"(\d+[A-Z]?(?:-\d+)?) ([A-Z]+(?: [A-Z]+)*)"
 def _requests(spark, d):
     """Look-up requests from the associated address: number, road, postcode, town."""
     a = F.upper("apd")
-    r = _t(spark, d, "leases").groupBy(F.col("_id").alias("request_id")).agg(F.min("uid").alias("uid"), F.min("uprn").alias("uprn"), F.min("apd").alias("apd"), F.min("pc").alias("pc"))
+    r = _leases(spark, d).withColumnRenamed("_id", "request_id")
     none = F.lit("")
     return r.select(
         "request_id", "uid", "uprn",
@@ -158,8 +139,8 @@ def _requests(spark, d):
     )
 
 
-_REQUESTS = r"""
-r0 AS (SELECT _id AS request_id, min(uid) AS uid, min(uprn) AS uprn, upper(min(apd)) AS apd, min(pc) AS postcode FROM leases GROUP BY 1),
+_REQUESTS = LEASES_CTE + r""",
+r0 AS (SELECT _id AS request_id, uid, uprn, upper(apd) AS apd, pc AS postcode FROM lease),
 r1 AS (SELECT request_id, uid, uprn, nullif(regexp_extract(apd, '(?:^|, )(\d+[A-Z]?(?:-\d+)?) ([A-Z]+(?: [A-Z]+)*)', 1), '') AS house_number,
          nullif(regexp_extract(apd, '(?:^|, )(\d+[A-Z]?(?:-\d+)?) ([A-Z]+(?: [A-Z]+)*)', 2), '') AS road,
          nullif(regexp_extract(apd, ', ([A-Z]+)(?: QA[0-9A-Z ]+)?$', 1), '') AS city, postcode FROM r0),
@@ -168,7 +149,7 @@ r AS (SELECT *, coalesce(nullif(regexp_extract(trim(split_part(house_number, '-'
 _PRIORITY = "CASE WHEN upper(g.building_number) = upper(r.house_number) THEN 1 WHEN upper(g.building_name) = upper(r.house_number) THEN 2 WHEN starts_with(upper(g.building_number), upper(r.base)) THEN 3 WHEN starts_with(upper(g.building_name), upper(r.base)) THEN 4 END"
 _CASCADE = f"""
 WITH {_REQUESTS},
-u AS (SELECT uprn, min(id) AS id FROM ab_plus GROUP BY 1),
+u AS (SELECT uprn, max(id) AS id FROM ab_plus GROUP BY 1),
 c AS (
   SELECT request_id, 1 AS stage, u.id AS gazetteer_id, u.uprn, 1 AS priority FROM r JOIN u USING (uprn)
   UNION ALL SELECT request_id, 2, g.id, g.uprn, {_PRIORITY} AS p FROM r JOIN ab_plus g ON upper(g.thoroughfare) = r.road AND upper(g.postcode) = upper(r.postcode) WHERE p IS NOT NULL
@@ -207,11 +188,11 @@ def join_title_propagation(spark, d):
 
 @add(
     "join_geocode",
-    f"WITH {_EXT}, g AS (SELECT upper(replace(trim(postcode), ' ', '')) AS k, round(avg(latitude), 5) AS lat, round(avg(longitude), 5) AS lon FROM ab_plus WHERE postcode IS NOT NULL GROUP BY 1), l AS (SELECT _id, min(pc) AS pc FROM leases GROUP BY 1) SELECT l._id AS lease_id, g.k AS postcode, g.lat, g.lon FROM l LEFT JOIN g ON upper(replace(trim(l.pc), ' ', '')) = g.k",
+    f"WITH {_EXT}, g AS (SELECT upper(replace(trim(postcode), ' ', '')) AS k, round(avg(latitude), 5) AS lat, round(avg(longitude), 5) AS lon FROM ab_plus WHERE postcode IS NOT NULL GROUP BY 1), {LEASES_CTE}, l AS (SELECT _id, pc FROM lease) SELECT l._id AS lease_id, g.k AS postcode, g.lat, g.lon FROM l LEFT JOIN g ON upper(replace(trim(l.pc), ' ', '')) = g.k",
 )
 def join_geocode(spark, d):
     g = _t(spark, d, "ab_plus").filter("postcode IS NOT NULL").groupBy(text.cache_key(F.col("postcode")).alias("postcode")).agg(F.round(F.avg("latitude"), 5).alias("lat"), F.round(F.avg("longitude"), 5).alias("lon"))
-    leases = _t(spark, d, "leases").groupBy(F.col("_id").alias("lease_id")).agg(F.min("pc").alias("pc"))
+    leases = _leases(spark, d).select(F.col("_id").alias("lease_id"), "pc")
     return leases.join(g, text.cache_key(F.col("pc")) == g["postcode"], "left").select("lease_id", "postcode", "lat", "lon")
 
 
@@ -222,11 +203,17 @@ def join_cache_stats(spark, d):
     return j.agg(F.count("*").alias("size"), F.count("hit").alias("hits"), (F.count("*") - F.count("hit")).alias("misses"))
 
 
-_VIEWS = "v AS (SELECT uniqueid AS uid, max(viewcount) AS views FROM leaseviewstats GROUP BY 1)"
+_VIEWS = "v AS (SELECT DISTINCT ON (uniqueid) uniqueid AS uid, viewcount AS views FROM leaseviewstats ORDER BY uniqueid, lastviewedat DESC NULLS LAST, _id DESC NULLS LAST, viewcount DESC NULLS LAST)"
+
+
+def _views(spark, d):
+    """(uid, views): of repeated rows of a title the one viewed last counts."""
+    last = F.max_by(F.struct("viewcount"), F.struct("lastviewedat", "_id", "viewcount"))
+    return _t(spark, d, "leaseviewstats").groupBy(F.col("uniqueid").alias("uid")).agg(last.alias("x")).select("uid", F.col("x.viewcount").alias("views"))
 
 
 def _viewed(spark, d):
-    v = _t(spark, d, "leaseviewstats").groupBy(F.col("uniqueid").alias("uid")).agg(F.max("viewcount").alias("views"))
+    v = _views(spark, d)
     return _ext(spark, d).join(v, "uid").withColumn("years", dates.years_remaining(F.col("exp"), _ref()))
 
 
@@ -243,130 +230,23 @@ def join_range_expansion(spark, d):
     return match.expanded(_t(spark, d, "ab_plus")).select("id", "uprn", "building_number", "building_name", "thoroughfare", "origin")
 
 
-@add("join_update_fields", f"WITH {_EXT}, u AS (SELECT lid, min(cl) AS cl FROM ext GROUP BY 1), l AS (SELECT _id, min(aci) AS aci FROM leases GROUP BY 1) SELECT l._id, coalesce(u.cl, l.aci) AS aci FROM l LEFT JOIN u ON u.lid = l._id")
+@add("join_update_fields", f"WITH {_EXT}, {LEASES_CTE}, u AS (SELECT lid, min(cl) AS cl FROM ext GROUP BY 1), l AS (SELECT _id, aci FROM lease) SELECT l._id, coalesce(u.cl, l.aci) AS aci FROM l LEFT JOIN u ON u.lid = l._id")
 def join_update_fields(spark, d):
-    l = _t(spark, d, "leases").groupBy("_id").agg(F.min("aci").alias("aci"))
+    l = _leases(spark, d).select("_id", "aci")
     u = _ext(spark, d).groupBy(F.col("lid").alias("_id")).agg(F.min("cl").alias("aci"))
     return match.updated(l, u, "_id", ["aci"])
 
 
-# ---------------------------------------------------------------- terms
-
-_NORM = r"""
-t AS (SELECT DISTINCT term, dol, trim(replace(regexp_replace(regexp_replace(trim(term), '\s+', ' ', 'g'), '(?i)\b(\d{1,2})(st|nd|rd|th)\b', '\1', 'g'), ',', '')) AS n FROM leases WHERE term IS NOT NULL),
-months AS (SELECT unnest(['january','february','march','april','may','june','july','august','september','october','november','december']) AS m, unnest(range(1, 13)) AS k)
-"""
-
-
-def _parsed(df: DataFrame) -> DataFrame:
-    """df with its terms parsed, written once: no later filter is pushed into the cascade, where it would be copied many times."""
-    return cut(with_parsed_term(_spread(df)))
-
-
-def _terms(spark, d):
-    return _parsed(_t(spark, d, "leases").select("term", "dol").distinct())
-
-
-def _day(g1: int, g2: int, g3: int, pattern: str, months: str) -> str:
-    part = lambda g: f"regexp_extract(n, '{pattern}', {g})"
-    return f"try_cast({part(g3)} || '-' || {months}.k || '-' || {part(g1)} AS DATE)"
-
-
-_MONTH = "january|february|march|april|may|june|july|august|september|october|november|december"
-_P3A = rf"(?i)^(\d{{1,4}})\s*years from (?:and including )?(\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
-
-
-@add(
-    "term_years_from_date",
-    f"WITH {_NORM} SELECT term, dol, {_day(2, 3, 4, _P3A, 'a')} AS start, CAST(start + to_years(CAST(regexp_extract(n, '{_P3A}', 1) AS INTEGER)) AS DATE) AS expiry, CAST(regexp_extract(n, '{_P3A}', 1) AS DOUBLE) AS tenure FROM t JOIN months a ON lower(regexp_extract(n, '{_P3A}', 3)) = a.m WHERE regexp_matches(n, '{_P3A}') AND start IS NOT NULL",
-)
-def term_years_from_date(spark, d):
-    """N years from a date: the expiry keeps the day of the start."""
-    shape = F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace("term", r"\s+", " ")), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), ",", "").rlike(_P3A)
-    return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter(shape & (F.col("parsed.pattern") == "3a")).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
-
-
-_P4B = rf"(?i)^commencing on (\d{{1,2}}) ({_MONTH}) (\d{{4}}) for a term of (\d+) years$"
-
-
-@add(
-    "term_commencing",
-    f"WITH {_NORM} SELECT term, dol, {_day(1, 2, 3, _P4B, 'a')} AS start, CAST(start + to_years(CAST(regexp_extract(n, '{_P4B}', 4) AS INTEGER)) - INTERVAL 1 DAY AS DATE) AS expiry, CAST(regexp_extract(n, '{_P4B}', 4) AS DOUBLE) AS tenure FROM t JOIN months a ON lower(regexp_extract(n, '{_P4B}', 2)) = a.m WHERE regexp_matches(n, '{_P4B}') AND start IS NOT NULL",
-)
-def term_commencing(spark, d):
-    """Commencing on a date for N years: the last day is the one before the anniversary."""
-    return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter((F.col("parsed.pattern") == "4b") & F.regexp_replace(F.regexp_replace(F.trim("term"), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"\s+", " ").rlike(_P4B)).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
-
-
-_P4D = rf"(?i)^(\d+) years expiring on (\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
+# ---------------------------------------------------------------- validation and scalar functions
 
 
-@add(
-    "term_expiring",
-    f"WITH {_NORM} SELECT term, dol, {_day(2, 3, 4, _P4D, 'a')} AS expiry, CAST(expiry - to_years(CAST(regexp_extract(n, '{_P4D}', 1) AS INTEGER)) AS DATE) AS start, CAST(regexp_extract(n, '{_P4D}', 1) AS DOUBLE) AS tenure FROM t JOIN months a ON lower(regexp_extract(n, '{_P4D}', 3)) = a.m WHERE regexp_matches(n, '{_P4D}') AND expiry IS NOT NULL",
-)
-def term_expiring(spark, d):
-    return _terms(spark, d).filter(F.col("parsed").isNotNull()).filter((F.col("parsed.pattern") == "4d") & F.regexp_replace(F.regexp_replace(F.trim("term"), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"\s+", " ").rlike(_P4D)).select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
-
-
-_P2A = rf"(?i)^from (\d{{1,2}}) ({_MONTH}) (\d{{4}}) to (\d{{1,2}}) ({_MONTH}) (\d{{4}})$"
-
-
-@add(
-    "term_date_range",
-    f"WITH {_NORM} SELECT term, dol, {_day(1, 2, 3, _P2A, 'a')} AS start, {_day(4, 5, 6, _P2A, 'b')} AS expiry, CAST(greatest(date_sub('year', start, CAST(expiry + INTERVAL 30 DAY AS DATE)), date_sub('year', start, expiry)) AS DOUBLE) AS tenure FROM t JOIN months a ON lower(regexp_extract(n, '{_P2A}', 2)) = a.m JOIN months b ON lower(regexp_extract(n, '{_P2A}', 5)) = b.m WHERE regexp_matches(n, '{_P2A}') AND start IS NOT NULL AND expiry > start",
-)
-def term_date_range(spark, d):
-    """From a date to a date: the tenure is rounded up if 30 days more complete a year."""
-    r = _terms(spark, d).filter(F.col("parsed").isNotNull()).filter((F.col("parsed.pattern") == "2a") & F.regexp_replace(F.regexp_replace(F.trim("term"), r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"\s+", " ").rlike(_P2A))
-    return r.filter("parsed.expiry > parsed.start").select("term", "dol", "parsed.start", "parsed.expiry", "parsed.tenure")
-
-
-@add("term_parsed")
-def term_parsed(spark, d):
-    """Every lease's term with its dates, the rule that read it, and its validation findings (no SQL form)."""
-    p = _parsed(_t(spark, d, "leases").select("_id", "term", "dol"))
-    return p.withColumn("findings", findings(F.col("parsed.start"), F.col("parsed.expiry"), F.col("parsed.tenure"), _ref())).select("_id", "parsed.*", is_valid(F.col("findings")).alias("valid"), F.col("findings.code").alias("codes"))
-
-
-@add("term_run_statistics")
-def term_run_statistics(spark, d):
-    p = term_parsed(spark, d).withColumn("outcome", F.when(F.col("status") == "overflow", "error").when(F.col("valid"), "valid").otherwise("invalid"))
-    n = p.groupBy("outcome").agg(F.count("*").alias("n"))
-    return n.withColumn("percent", F.round(analytics.share(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(1)))), 4))
-
-
-@add("term_model_residue")
-def term_model_residue(spark, d):
-    """Terms the rules leave open, through the model hook with a stub that reads the first two years it sees."""
-    p = _parsed(_t(spark, d, "leases").select("_id", "term", "dol")).filter("parsed IS NULL AND trim(term) <> ''")
-
-    def stub(prompts: list[str]) -> list[str]:
-        import re
-
-        out = []
-        for x in prompts:
-            years = re.findall(r"(\d{2,3})\s*y", x)
-            dated = re.search(r"(\d{4})", x)
-            out.append(f"01/01/{dated.group(1)} {years[0]} years" if dated and years else "Not specified")
-        return out
-
-    return with_model(p.select("_id", "term"), "term", stub, _ref()).select("_id", "model.*")
-
-
-@add(
-    "val_term_findings",
-    f"WITH {_EXT} SELECT _id, CASE WHEN st IS NULL AND exp IS NULL AND ty IS NULL THEN 'NULL_DATA' WHEN st IS NULL OR exp IS NULL OR ty IS NULL THEN 'INVALID_TYPE' ELSE concat_ws(',', CASE WHEN st >= exp THEN 'INVALID_DATE_ORDER' END, CASE WHEN ty <= 0 THEN 'INVALID_TENURE' END, CASE WHEN abs(date_diff('day', CAST(st + to_years(ty) AS DATE), exp)) > 10 THEN 'TENURE_MISMATCH' END, CASE WHEN st > DATE '{REFERENCE}' THEN 'FUTURE_START_DATE' END, CASE WHEN st < DATE '1800-01-01' THEN 'UNREASONABLE_START_DATE' END, CASE WHEN ty > 1000 THEN 'EXCESSIVE_TENURE' END, CASE WHEN exp < DATE '{REFERENCE}' THEN 'LEASE_EXPIRED' END) END AS codes FROM ext WHERE ty IS NULL OR ty BETWEEN -2000 AND 5000",
-)
+@add("val_term_findings", f"WITH {_EXT} SELECT _id, {codes_sql('st', 'exp', 'ty')} AS codes FROM ext")
 def val_term_findings(spark, d):
-    """Every record with its findings. The SQL leaves out tenures outside -2000 to 5000; they are tested by hand-made rows."""
+    """Every record with its findings, whatever its tenure."""
     e = _ext(spark, d)
     return e.select("_id", F.array_join(findings(F.col("st"), F.col("exp"), F.col("ty").cast("double"), _ref())["code"], ",").alias("codes"))
 
 
-# ---------------------------------------------------------------- scalar functions
-
-
 @add("fn_house_numbers", r"SELECT id, trim(split_part(building_name, '-', 1)) AS head, coalesce(nullif(regexp_extract(trim(split_part(building_name, '-', 1)), '^(\d+)', 1), ''), trim(split_part(building_name, '-', 1))) AS base FROM ab_plus WHERE building_name IS NOT NULL")
 def fn_house_numbers(spark, d):
     return _t(spark, d, "ab_plus").filter("building_name IS NOT NULL").select("id", text.house_number_start(F.col("building_name")).alias("head"), text.base_number(F.col("building_name")).alias("base"))
@@ -381,9 +261,10 @@ def fn_char_difference(spark, d):
     return p.select("rpd", "apd", text.char_difference(text.text_value(F.col("rpd")), F.upper(text.text_value(F.col("apd")))).cast("long").alias("difference"))
 
 
-@add("fn_geojson_point", "SELECT _id, CASE WHEN lat <> 0 AND lon <> 0 AND NOT isnan(lat) AND NOT isnan(lon) THEN concat(lon, ' ', lat) END IS NOT NULL AS has_point FROM leasesext")
+@add("fn_geojson_point", "SELECT _id, there, CASE WHEN there THEN 'Point' END AS type, CASE WHEN there THEN round(lon, 9) END AS x, CASE WHEN there THEN round(lat, 9) END AS y FROM (SELECT *, coalesce(lat <> 0 AND lon <> 0 AND NOT isnan(lat) AND NOT isnan(lon), false) AS there FROM leasesext)")
 def fn_geojson_point(spark, d):
-    return _t(spark, d, "leasesext").select("_id", geo.geojson_point(F.col("lon"), F.col("lat")).isNotNull().alias("has_point"))
+    p = _t(spark, d, "leasesext").select("_id", geo.geojson_point(F.col("lon"), F.col("lat")).alias("p"))
+    return p.select("_id", F.col("p").isNotNull().alias("there"), "p.type", F.round(F.get("p.coordinates", F.lit(0)), 9).alias("x"), F.round(F.get("p.coordinates", F.lit(1)), 9).alias("y"))
 
 
 @add("fn_years_remaining", f"WITH {_EXT} SELECT _id, round({_YEARS}, 6) AS years, CAST(floor({_YEARS}) AS BIGINT) AS whole, CASE WHEN {_YEARS} < 70 THEN '<70' WHEN {_YEARS} < 80 THEN '70-80' WHEN {_YEARS} < 90 THEN '80-90' WHEN {_YEARS} < 100 THEN '90-100' ELSE '100+' END AS category FROM ext WHERE exp IS NOT NULL")
@@ -392,9 +273,23 @@ def fn_years_remaining(spark, d):
     return _ext(spark, d).filter("exp IS NOT NULL").select("_id", F.round(y, 6).alias("years"), F.floor(y).alias("whole"), dates.term_category(y).alias("category"))
 
 
-@add("fn_any_expiry", r"SELECT DISTINCT dol, CASE WHEN length(trim(dol)) = 10 THEN coalesce(try_strptime(trim(dol), '%d/%m/%Y'), try_strptime(trim(dol), '%d-%m-%Y'))::DATE END AS day FROM leases WHERE dol IS NOT NULL AND (regexp_full_match(trim(dol), '\d\d[-/.]\d\d[-/.]\d{4}'))")
+_ANY = r"""
+WITH e AS (SELECT DISTINCT CAST(exp AS VARCHAR) AS t FROM leasesext WHERE exp IS NOT NULL),
+x AS (SELECT dol AS t FROM leases WHERE dol IS NOT NULL UNION SELECT version FROM leasechanges UNION SELECT t FROM e UNION SELECT t || 'T00:00:00' FROM e UNION SELECT replace(t, '-', '/') FROM e UNION SELECT t[:4] FROM e),
+y AS (SELECT t, trim(t) AS s FROM x)
+SELECT t, CASE WHEN length(s) = 10 THEN coalesce(try_strptime(s, '%Y-%m-%d'), try_strptime(s, '%d/%m/%Y'), try_strptime(s, '%d-%m-%Y'), try_strptime(s, '%Y/%m/%d'))::DATE
+  WHEN regexp_matches(s, '^[0-9]{4}-[0-9][0-9]-[0-9][0-9][T ]') THEN try_strptime(s[:10], '%Y-%m-%d')::DATE
+  WHEN regexp_full_match(s, '[0-9]{4}') AND CAST(s AS INTEGER) BETWEEN 1900 AND 3000 THEN make_date(CAST(s AS INTEGER), 1, 1) END AS day FROM y
+"""
+
+
+@add("fn_any_expiry", _ANY)
 def fn_any_expiry(spark, d):
-    return _t(spark, d, "leases").filter(F.trim("dol").rlike(r"^\d\d[-/.]\d\d[-/.]\d{4}$")).select("dol").distinct().withColumn("day", dates.any_expiry(F.col("dol")))
+    """Dates in every notation of the tables: dates of leases, versions (no date), expiries in four forms and as a bare year."""
+    e = _t(spark, d, "leasesext").filter("exp IS NOT NULL").select(F.col("exp").cast("string").alias("t")).distinct()
+    forms = e.select(F.explode(F.array("t", F.concat("t", F.lit("T00:00:00")), F.replace("t", F.lit("-"), F.lit("/")), F.substring("t", 1, 4))).alias("t"))
+    dol, version = _t(spark, d, "leases").filter("dol IS NOT NULL").select(F.col("dol").alias("t")), _t(spark, d, "leasechanges").select(F.col("version").alias("t"))
+    return dol.unionAll(version).unionAll(forms).distinct().withColumn("day", dates.any_expiry(F.col("t")))
 
 
 @add("fn_address_parts")
@@ -415,10 +310,9 @@ def agg_missing_fields(spark, d):
     return analytics.missing_fields(_t(spark, d, "leases"), ["term", "dol", "pc", "rpd", "apd", "uprn"])
 
 
-@add("agg_commercial_suspects", f"WITH {_EXT}, t AS (SELECT _id, min(pt) AS pt FROM leasesext GROUP BY 1) SELECT count(*) AS n FROM ext JOIN t USING (_id) WHERE ty < 90 AND pt IS NULL")
+@add("agg_commercial_suspects", f"WITH {_EXT} SELECT count(*) AS n FROM ext WHERE ty < 25 AND pt IS NULL")
 def agg_commercial_suspects(spark, d):
-    e = _t(spark, d, "leasesext").groupBy("_id").agg(F.min("ty").alias("ty"), F.min("pt").alias("pt"))
-    return e.filter((F.col("ty") < 90) & F.col("pt").isNull()).agg(F.count("*").alias("n"))
+    return _ext(spark, d).filter((F.col("ty") < 25) & F.col("pt").isNull()).agg(F.count("*").alias("n"))
 
 
 @add("agg_coverage", "SELECT count(*) AS total, count(loc.coordinates) AS with_loc, count(exp) AS with_exp, count(*) FILTER (loc.coordinates IS NOT NULL AND exp IS NOT NULL) AS with_both, round(100.0 * count(*) FILTER (loc.coordinates IS NOT NULL AND exp IS NOT NULL) / count(*), 6) AS both_percent, count(*) - count(loc.coordinates) AS no_loc FROM leasesext")
@@ -464,9 +358,11 @@ def agg_district_short_share(spark, d):
     return g.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("percent"), "code")).cast("long"))
 
 
-@add("agg_district_years", _LOCATED + "SELECT code, CAST(least(floor(years), 999) AS BIGINT) AS years_left, count(*) AS n FROM located GROUP BY 1, 2")
+@add("agg_district_years", _LOCATED + "SELECT code, CASE WHEN years IS NOT NULL THEN CAST(least(floor(years), 999) AS BIGINT) END AS years_left, count(*) AS n FROM located GROUP BY 1, 2")
 def agg_district_years(spark, d):
-    return _located(spark, d).groupBy("code", F.least(F.floor("years"), F.lit(999)).cast("long").alias("years_left")).agg(F.count("*").alias("n"))
+    """Whole years left, 999 at most; unknown years are a group of their own."""
+    left = F.when(F.col("years").isNotNull(), F.least(F.floor("years"), F.lit(999)).cast("long"))
+    return _located(spark, d).groupBy("code", left.alias("years_left")).agg(F.count("*").alias("n"))
 
 
 @add("agg_region_totals", _LOCATED + "SELECT substr(code, 1, 4) AS region, count(*) AS n, round(avg(years), 4) AS avg_years FROM located WHERE code LIKE 'Z%' GROUP BY 1")
@@ -487,7 +383,7 @@ def agg_expiring_soon(spark, d):
 
 @add("agg_demand_by_district", _LOCATED + f", {_VIEWS} SELECT code, sum(views) AS views, count(*) AS n, round(avg(views), 4) AS average FROM located JOIN v USING (uid) WHERE years < 80 AND code LIKE 'Z%' GROUP BY 1")
 def agg_demand_by_district(spark, d):
-    v = _t(spark, d, "leaseviewstats").groupBy(F.col("uniqueid").alias("uid")).agg(F.max("viewcount").alias("views"))
+    v = _views(spark, d)
     j = _located(spark, d).join(v, "uid").filter((F.col("years") < 80) & F.col("code").startswith("Z"))
     return j.groupBy("code").agg(F.sum("views").alias("views"), F.count("*").alias("n"), F.round(F.avg("views"), 4).alias("average"))
 
@@ -571,14 +467,6 @@ def agg_length_quantiles(spark, d):
     return _t(spark, d, "leases").filter("term IS NOT NULL").agg(F.percentile(n, 0.25).alias("q25"), F.median(n).alias("q50"), F.percentile(n, 0.75).alias("q75"), F.countDistinct("term").alias("n_distinct"))
 
 
-@add("agg_field_accuracy")
-def agg_field_accuracy(spark, d):
-    """How often the term read from a lease equals the enriched record's dates and tenure (no SQL form)."""
-    p = _parsed(_t(spark, d, "leases").select("_id", "term", "dol").dropDuplicates(["_id"])).select(F.col("_id").alias("lid"), "parsed")
-    j = _ext(spark, d).join(p, "lid").filter("parsed IS NOT NULL")
-    return j.agg(F.count("*").alias("n"), *[F.round(F.avg((F.col(a) == F.col(f"parsed.{b}")).cast("double")), 6).alias(f"{b}_accuracy") for a, b in (("st", "start"), ("exp", "expiry"), ("ty", "tenure"))])
-
-
 @add("agg_subset_share", f"WITH {_EXT} SELECT count(*) FILTER (apc LIKE 'QA1 %') AS n_subset, round(100.0 * count(*) FILTER (apc LIKE 'QA1 %' AND exp < DATE '2100-01-01') / nullif(count(exp) FILTER (apc LIKE 'QA1 %'), 0), 6) AS subset_percent, round(100.0 * count(*) FILTER (exp < DATE '2100-01-01') / count(exp), 6) AS whole_percent FROM ext")
 def agg_subset_share(spark, d):
     inside, soon = F.coalesce(F.col("apc").startswith("QA1 "), F.lit(False)), F.col("exp") < F.lit("2100-01-01").cast("date")
@@ -655,9 +543,9 @@ def dml_merge(spark, d):
     return delta.merge_on(base, new, "_id")
 
 
-@add("dml_two_phase_ids", f"WITH {_EXT} SELECT DISTINCT _id AS ext_id, lid AS lease_id FROM ext WHERE ty < 90")
+@add("dml_two_phase_ids", f"WITH {_EXT} SELECT DISTINCT _id AS ext_id, lid AS lease_id FROM ext WHERE ty < 21")
 def dml_two_phase_ids(spark, d):
-    return delta.short_term_ids(_ext(spark, d), 90)
+    return delta.short_term_ids(_ext(spark, d))
 
 
 @add("dml_residential_wins", f"WITH {_EXT} SELECT uid, bool_and(coalesce(substr(upper(cl), 1, 1) IN ('R', 'X', 'P'), false)) AS kept, count(*) AS n FROM ext GROUP BY 1")
@@ -678,7 +566,9 @@ def dml_trackers(spark, d):
     return deletes.unionAll(adds).groupBy(F.upper(F.trim("unique_identifier")).alias("uid")).agg(F.max("version").alias("last_updated"))
 
 
-@add("set_uncached_postcodes", "SELECT DISTINCT upper(replace(trim(pc), ' ', '')) AS k FROM leases WHERE pc IS NOT NULL EXCEPT SELECT upper(replace(trim(postcode), ' ', '')) FROM ab_plus")
+@add("set_uncached_postcodes", "SELECT DISTINCT upper(replace(trim(pc), ' ', '')) AS k FROM leases WHERE pc IS NOT NULL EXCEPT SELECT upper(replace(trim(postcode), ' ', '')) FROM ab_plus WHERE last_update_date < DATE '2010-01-01'")
 def set_uncached_postcodes(spark, d):
-    keys = lambda t, c: _t(spark, d, t).filter(F.col(c).isNotNull()).select(text.cache_key(F.col(c)).alias("k")).distinct()
-    return keys("leases", "pc").join(keys("ab_plus", "postcode"), "k", "left_anti")
+    """Postcodes of leases that a cache of the gazetteer as it was at the end of 2009 lacks."""
+    keys = lambda df, c: df.filter(F.col(c).isNotNull()).select(text.cache_key(F.col(c)).alias("k")).distinct()
+    cached = _t(spark, d, "ab_plus").filter("last_update_date < DATE '2010-01-01'")
+    return keys(_t(spark, d, "leases"), "pc").join(keys(cached, "postcode"), "k", "left_anti")

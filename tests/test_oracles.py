@@ -1,10 +1,10 @@
 import pytest
 
-from demesne.plans import integrity, register
+from demesne.plans import integrity, register, terms
 from oracle import compare
 
-CASES = {**integrity.REGISTRY.oracles, **register.REGISTRY.oracles}
-QUERIES = {**integrity.REGISTRY.queries, **register.REGISTRY.queries}
+CASES = {**integrity.REGISTRY.oracles, **register.REGISTRY.oracles, **terms.REGISTRY.oracles}
+QUERIES = {**integrity.REGISTRY.queries, **register.REGISTRY.queries, **terms.REGISTRY.queries}
 
 
 @pytest.mark.parametrize("name", sorted(CASES))

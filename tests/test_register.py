@@ -54,7 +54,7 @@ def test_validation_reports_every_record(spark, tmp_path):
     from demesne.plans.register import val_term_findings
 
     rows = [("a", "2000-01-01", "2099-01-01", 99), ("b", "2000-01-01", "2099-01-01", 12_500), ("c", "2000-01-01", "2099-01-01", -2_001), ("d", "2000-01-01", "2099-01-01", 2_000_000_000), ("e", None, None, 5_001), ("f", "2000-01-01", None, -2_000_000_000), ("g", "2000-01-01", "2099-01-01", -2_000_000_000), ("h", None, None, None)]
-    df = spark.createDataFrame(rows, "_id string, s string, e string, ty int").select("_id", F.col("s").cast("date").alias("st"), F.col("e").cast("date").alias("exp"), "ty", *[F.lit(None).cast("string").alias(c) for c in ("uid", "lid", "cl", "apc", "aup")])
+    df = spark.createDataFrame(rows, "_id string, s string, e string, ty int").select("_id", F.col("s").cast("date").alias("st"), F.col("e").cast("date").alias("exp"), "ty", *[F.lit(None).cast("string").alias(c) for c in ("uid", "lid", "cl", "apc", "aup", "pt", "tf", "loaded_at")])
     df.unionAll(df).write.parquet(str(tmp_path / "leasesext.parquet"))
     got = {r["_id"]: r["codes"] for r in val_term_findings(spark, str(tmp_path)).collect()}
     long, negative = "TENURE_MISMATCH,EXCESSIVE_TENURE", "INVALID_TENURE,TENURE_MISMATCH"

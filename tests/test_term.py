@@ -6,44 +6,17 @@ import random
 import pytest
 from dateutil.relativedelta import relativedelta
 
-from demesne.functions.term import tenure_between, with_parsed_term
-
-# term, date of lease, rule, start, expiry, tenure
-FIXED = [
-    ("99 years from 24 June 1862", None, "3a", "1862-06-24", "1961-06-24", 99),
-    ("99 years less 3 days from 25 March 1868", None, "3a", "1868-03-25", "1967-03-22", 99),
-    ("215 years (less 3 days) from and including 24 June 1986", None, "3a", "1986-06-24", "2201-06-21", 215),
-    ("97 3/4 years from 25 March 1866", None, "3a", "1866-03-25", "1963-12-25", 97.75),
-    ("52 and a quarter years less 10 days from 25 March 1906", None, "3a", "1906-03-25", "1958-06-15", 52.25),
-    ("99 years from Christmas Day 1900", None, "3a", "1900-12-25", "1999-12-25", 99),
-    ("500 years less 9 months from 29 September 1585", None, "3a", "1585-09-29", "2084-12-29", 500),
-    ("one year from and including 6 June 2023 to and including 5 June 2024", None, "1", "2023-06-06", "2024-06-05", 1),
-    ("Beginning on and including 1 September 2016 ending on and including 2 August 3015", None, "2a", "2016-09-01", "3015-08-02", 999),
-    ("5 June 2002 until 31 December 3001", None, "2b", "2002-06-05", "3001-12-31", 999),
-    ("Expiring on 21 October 2115 from 22 October 1990", None, "2c", "1990-10-22", "2115-10-21", 125),
-    ("From and including 10 May 2013 for a term of years expiring on 9 December 2190", None, "2d", "2013-05-10", "2190-12-09", 177),
-    ("31 years and 6 months from 28 March 2024", None, "3c", "2024-03-28", "2055-09-28", 31),
-    ("From and including 90 years from 2 December 2024", None, "4a", "2024-12-02", "2114-12-01", 90),
-    ("commencing on 10 may 2013 for a term of 125 years", None, "4b", "2013-05-10", "2138-05-09", 125),
-    ("147 years expiring on 23 June 2161", None, "4d", "2014-06-23", "2161-06-23", 147),
-    ("Commences on 28 July 2024 and expires 50 years thereafter", None, "4e", "2024-07-28", "2074-07-27", 50),
-    ("999 years from and including December 2023", None, "4f", "2023-12-01", "3022-11-30", 999),
-    ("999 years 25 March 1896", None, "5a", "1896-03-25", "2895-03-24", 999),
-    ("999 from 27 April 2006", None, "5b", "2006-04-27", "3005-04-26", 999),
-    ("999 and 1 day from 28 March 1988", None, "5c", "1988-03-28", "2987-03-29", 999),
-    ("999 years from the date of the lease", "16-10-1866", "6a", "1866-10-16", "2865-10-15", 999),
-    ("For a term expiring on the 31st day of March 2122", "01-04-1900", "6b1", "1900-04-01", "2122-03-31", 222),
-    ("999 (less 10 days)", "01-01-1900", "6d2", "1900-01-01", "2898-12-31", 999),
-    ("From and including 30 September to and including 29 September 2031", "30-09-2020", "6g", "2020-09-30", "2031-09-29", 11),
-    ("18 April 1997", "01-01-1900", "6h", "1900-01-01", "1997-04-18", 97),
-    ("199 years (less 14 days) from 16 Jnuary 2006", None, "3a", "2006-01-16", "2205-01-02", 199),
-    ("From 23/5/1988 to 31/4/2114", None, "2a", "1988-05-23", "2114-04-30", 126),
-    ("199 years from 12:7:1973", None, "3a", "1973-07-12", "2172-07-12", 199),
-]
+from demesne.functions.term import RULES, day_of, number_of, tenure_between, whole_years, with_parsed_term
+from demesne.plans.term_cases import CASES
+
+
+
+def test_every_rule_has_a_case():
+    assert {c[2] for c in CASES} == {r.name for r in RULES}
 
 
 def test_fixed_terms(spark):
-    df = spark.createDataFrame([(t, d, r, s, e, float(y)) for t, d, r, s, e, y in FIXED], "term string, dol string, rule string, s string, e string, y double")
+    df = spark.createDataFrame([(t, d, r, s, e, float(y)) for t, d, r, s, e, y in CASES], "term string, dol string, rule string, s string, e string, y double")
     for x in with_parsed_term(df).collect():
         p = x["parsed"]
         assert (p["pattern"], str(p["start"]), str(p["expiry"]), p["tenure"]) == (x["rule"], x["s"], x["e"], x["y"]), x["term"]
@@ -85,6 +58,10 @@ def test_tenure_against_plain_python(spark):
 
     for x in df.select("a", "b", tenure_between(F.col("a"), F.col("b")).alias("y")).collect():
         assert x["y"] == _years(x["a"], x["b"]), x
+    triple = lambda x: (x.year, x.month, x.day)
+    for a, b in rows:
+        assert whole_years(triple(a), triple(b)) == _years(a, b), (a, b)
+        assert number_of(triple(a)) == (a - dt.date(1970, 1, 1)).days and day_of(number_of(triple(b))) == triple(b)
 
 
 @pytest.mark.parametrize("text", ["5 1/0 years from 1 January 2000"])
