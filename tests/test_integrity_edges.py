@@ -171,6 +171,41 @@ def test_profile_finds_planted_shifts_only(spark):
     assert profile.findings(profile.profile_loads(df.limit(0), F.col("load"), F.col("id"), rules)).count() == 0
 
 
+def test_classifier_sees_what_no_aggregate_shows(spark):
+    """One load has the values of the others pushed to both sides: same median, nulls, extremes, top share. The rest are alike."""
+    rnd = random.Random(3)
+    rows = []
+    for m in range(1, 7):
+        for i in range(1500):
+            x = rnd.randrange(1, 100)
+            if m == 4 and 25 < x < 75:
+                x = x - 25 if x <= 50 else x + 24
+            rows.append((f"{m}-{i}", f"2025-{m:02}", x, rnd.randrange(40), rnd.choice("AB"), 1))
+    df = spark.createDataFrame(rows, "id string, load string, x int, y int, c string, version int")
+    rules = [profile.ColumnRule("x", "number", 0, 200, 0.08, null_shift=0.18, top_shift=0.22, median_shift=30), profile.ColumnRule("y", "number"), profile.ColumnRule("c", "text")]
+    p = profile.profile_loads(df, F.col("load"), F.col("id"), rules).collect()
+    assert {(r["version"], r["column_name"]) for r in p if r["changed"]} == {("2025-04", "x")}
+    assert not any(r["findings"] for r in p)
+
+
+def test_cross_fitted_auc_against_brute_force(spark):
+    """The AUC of a column alone, worked out row by row from the other fold's shares."""
+    rnd = random.Random(8)
+    rows = [(i, f"2025-{m:02}", rnd.choice("ABC" if m == 1 else "ABBC")) for m in (1, 2) for i in range(m * 1000, m * 1000 + 300)]
+    df = spark.createDataFrame(rows, "id long, load string, c string")
+    got = {r["version"]: r["auc_alone"] for r in profile.profile_loads(df, F.col("load"), F.col("id"), [profile.ColumnRule("c", "text")]).collect()}
+    fold = {r[0]: r[1] for r in df.select("id", F.pmod(F.xxhash64("id"), F.lit(2))).collect()}
+    for v in got:
+        auc = 0.0
+        own = [sum(1 for i, m, _ in rows if m == v and fold[i] == k) for k in (0, 1)]
+        for k in (0, 1):
+            train, held = [r for r in rows if fold[r[0]] != k], [r for r in rows if fold[r[0]] == k]
+            score = {c: sum(r[1] == v for r in train if r[2] == c) / sum(r[2] == c for r in train) for c in "ABC"}
+            pos, neg = [score[c] for _, m, c in held if m == v], [score[c] for _, m, c in held if m != v]
+            auc += sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg) * own[k] / sum(own)
+        assert abs(auc - got[v]) < 1e-9
+
+
 @pytest.mark.parametrize("text,want", [("007", "7"), ("2.0", "2"), ("000", "0"), (" 12X ", "12X"), ("2.5", "2.5"), (None, ""), ("", ""), ("-03", "-3")])
 def test_plain_number(spark, text, want):
     assert spark.createDataFrame([(text,)], "s string").select(changefeed.plain_number(F.col("s"))).first()[0] == want
