@@ -1,10 +1,13 @@
 """Filling fixed-capacity containers with texts.
 
-Best-fit-decreasing: texts are packed longest first, each into the fullest container that still holds
-it. The capacity is halved into tiers (context sizes) and a text is labelled with the smallest tier that
-holds it. As every container has the full capacity, going tier by tier is the same as going by length:
-the tiers do not change what is packed where. Containers are then dealt to step groups so that
-the groups' attention costs (sum of squared lengths) are balanced.
+Hierarchical packing by several context sizes. The capacity, halved a few times, gives the tiers; a text belongs
+to the smallest tier that holds it. Tier by tier, from the longest, texts are packed longest first into windows of
+the tier's own size. A text goes into the fullest window that still holds it, be it of its own tier or the gap
+that a longer window has left, and only if there is none a window of its tier's size is opened. So short texts
+share short windows, which a step can attend over at a fraction of the cost of long ones, and the gaps of
+long windows are filled from the shorter tiers. Windows are nested into containers of the one capacity: as each size
+halves the one before, they leave no space between them, but in the last container. Containers are dealt to step groups so that the groups' attention costs (sum of squared lengths)
+are balanced.
 
 A text is cut only if it alone exceeds the capacity, into as few pieces as possible; cuts fall on token
 boundaries that are also character boundaries, and the pieces, joined, are the text.
@@ -103,37 +106,47 @@ def tier_sizes(capacity: int, tiers: int) -> list[int]:
     return [max(1, capacity >> k) for k in range(tiers)]
 
 
-def pack(sizes: np.ndarray, capacity: int, tiers: int) -> tuple[np.ndarray, np.ndarray]:
-    """(container of each item, tier of each item): best fit, longest first; the tiers only label."""
+def pack(sizes: np.ndarray, capacity: int, tiers: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(container, window, tier of the window) of each item. Windows are numbered; tier k has windows of capacity / 2^k."""
     limits = tier_sizes(capacity, tiers)
     tier = np.zeros(len(sizes), np.int32)
     for k, limit in enumerate(limits):
         tier[sizes <= limit] = k
     home = np.full(len(sizes), -1, np.int64)
-    gaps: list[tuple[int, int]] = []  # (room, container), sorted
-    made = 0
+    gaps: list[tuple[int, int]] = []  # (room, window), sorted
+    opened: list[int] = []  # tier of each window
     for k in range(tiers):
         mine = np.flatnonzero(tier == k)
         for i in mine[np.argsort(-sizes[mine], kind="stable")]:
             n = int(sizes[i])
             at = bisect_left(gaps, (n, -1))
             if at < len(gaps):
-                room, c = gaps.pop(at)
+                room, w = gaps.pop(at)
             else:
-                room, c = capacity, made
-                made += 1
-            home[i] = c
-            insort(gaps, (room - n, c))
-    return home, tier
+                room, w = limits[k], len(opened)
+                opened.append(k)
+            home[i] = w
+            if room > n:
+                insort(gaps, (room - n, w))
+    # windows come in order of size, so each container is filled to the brim by windows that follow one another
+    size = np.array(limits, np.int64)[opened] if opened else np.empty(0, np.int64)
+    container = np.empty(len(opened), np.int64)
+    room, made = 0, -1
+    for w, n in enumerate(size):
+        if room < n:
+            made, room = made + 1, capacity
+        container[w], room = made, room - n
+    at = np.array(opened, np.int32) if opened else np.empty(0, np.int32)
+    return container[home], home, at[home]
 
 
 def _pack_shards(capacity: int, tiers: int, round_no: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n_tokens", "doc_id", "piece_no"], ascending=[False, True, True], kind="stable", ignore_index=True)
-        home, tier = pack(pdf["n_tokens"].to_numpy(np.int64), capacity, tiers)
+        home, window, tier = pack(pdf["n_tokens"].to_numpy(np.int64), capacity, tiers)
         filled = np.bincount(home, pdf["n_tokens"].to_numpy(float)) if len(home) else np.empty(0)
         shard = int(pdf["shard"].iloc[0])
-        return pdf.assign(container=[f"{round_no}-{shard}-{c}" for c in home], tier=tier, filled=filled[home].astype(np.int64))
+        return pdf.assign(container=[f"{round_no}-{shard}-{c}" for c in home], window=window.astype(np.int32), tier=tier, filled=filled[home].astype(np.int64))
 
     return run
 
@@ -151,11 +164,14 @@ def _deal(group_size: int):
     return run
 
 
-_PACKED = "doc_id long, piece_no int, char_from int, char_to int, n_tokens int, row long, shard int, container string, tier int, filled long"
+_PACKED = "doc_id long, piece_no int, char_from int, char_to int, n_tokens int, row long, shard int, container string, window int, tier int, filled long"
 
 
 def packed(documents: DataFrame, capacity: int = 2048, tiers: int = 4, path: str = TOKENIZER, group_size: int = 8, shard_containers: int = 4_000, full: float = 0.98) -> DataFrame:
-    """(container, step_group, doc_id, piece_no, char_from, char_to, n_tokens, tier, filled), a row per text or piece."""
+    """(container, step_group, window, tier, doc_id, piece_no, char_from, char_to, n_tokens, filled), a row per text or piece.
+
+    window numbers the windows of a container's shard; tier k has windows of capacity / 2^k tokens.
+   """
     if capacity < 8:
         raise ValueError("the capacity must be at least 8 tokens")
     items = cut(measured(documents, capacity, path).withColumn("row", F.monotonically_increasing_id()))
@@ -174,17 +190,24 @@ def packed(documents: DataFrame, capacity: int = 2048, tiers: int = 4, path: str
     both = first.filter(F.col("filled") >= full * capacity).unionAll(again)
     bucket = F.pmod(F.xxhash64("container"), F.lit(shards(items))).cast("int")
     out = both.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_deal(group_size), f"{_PACKED}, bucket int, step_group string")
-    return out.select("container", "step_group", "doc_id", "piece_no", "char_from", "char_to", "n_tokens", "tier", "filled")
+    return out.select("container", "step_group", "window", "tier", "doc_id", "piece_no", "char_from", "char_to", "n_tokens", "filled")
 
 
 def fill_report(assigned: DataFrame, capacity: int) -> DataFrame:
-    """One row: containers, texts, tokens, share of unused space, and how even the step groups are."""
-    per = assigned.groupBy("step_group", "container").agg(F.sum("n_tokens").alias("used"), F.sum(F.col("n_tokens").cast("double") ** 2).alias("cost"), F.count("*").alias("n"))
-    groups = per.groupBy("step_group").agg(F.sum("used").alias("used"), F.sum("cost").alias("cost"), F.count("*").alias("containers"), F.sum("n").alias("n"))
+    """One row: containers, texts, tokens, unused space, containers over the least possible, and how even the step groups are.
+
+    attended_share is the attention cost of the windows over that of containers attended over whole.
+    """
+    windows = assigned.groupBy("step_group", "container", "window", "tier").agg(F.sum("n_tokens").alias("used"), F.sum(F.col("n_tokens").cast("double") ** 2).alias("cost"), F.count("*").alias("n"))
+    per = windows.groupBy("step_group", "container").agg(F.sum("used").alias("used"), F.sum("cost").alias("cost"), F.sum("n").alias("n"), F.sum(F.pow(F.lit(4.0), -F.col("tier"))).alias("attended"))
+    groups = per.groupBy("step_group").agg(F.sum("used").alias("used"), F.sum("cost").alias("cost"), F.count("*").alias("containers"), F.sum("n").alias("n"), F.sum("attended").alias("attended"))
+    least = F.ceil(F.sum("used") / capacity)
     return groups.agg(
         F.sum("containers").alias("n_containers"),
+        least.alias("least_containers"),
         F.sum("n").alias("n_pieces"),
         F.sum("used").alias("n_tokens"),
         F.round(1 - F.sum("used") / (F.sum("containers") * capacity), 6).alias("unused_share"),
+        F.round(F.sum("attended") / F.sum("containers"), 6).alias("attended_share"),
         F.round(F.max(F.col("cost") / F.col("containers")) / F.avg(F.col("cost") / F.col("containers")), 6).alias("worst_group_cost"),
     )

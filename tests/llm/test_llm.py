@@ -113,12 +113,32 @@ def test_packing_round_trip(spark):
     assert packing.packed(df.limit(0), capacity=64).count() == 0
 
 
-def test_pack_never_overfills_and_fills_gaps():
+@pytest.mark.parametrize("tiers", [1, 2, 4])
+def test_pack_never_overfills_and_fills_gaps(tiers):
     rnd = np.random.default_rng(1)
     sizes = rnd.integers(0, 101, 2000)
-    home, _ = packing.pack(sizes, 100, 4)
+    home, window, tier = packing.pack(sizes, 100, tiers)
     load = np.bincount(home, sizes)
     assert load.max() <= 100 and len(load) <= np.ceil(sizes.sum() / 100) * 1.03
+    assert all(np.bincount(window, sizes)[w] <= packing.tier_sizes(100, tiers)[t] for w, t in zip(window, tier, strict=True))
+    assert all(len(set(home[window == w])) == 1 for w in set(window))
+
+
+def test_short_texts_share_short_windows():
+    """Half the tokens are in short texts: with tiers they stand in short windows, without in windows of the whole capacity."""
+    sizes = np.r_[np.full(50, 88), np.full(900, 4)]
+    home, _, tier = packing.pack(sizes, 96, 4)
+    assert np.bincount(home, sizes).max() <= 96 and home.max() + 1 <= 1.02 * np.ceil(sizes.sum() / 96)
+    assert (tier[50:] == 0).sum() == 100 and (tier[50:] == 3).sum() == 800  # two fill the gap of each long window, the others go to windows of 12
+    assert set(packing.pack(sizes, 96, 1)[2]) == {0}
+
+
+def test_containers_come_close_to_the_least_possible():
+    rnd = np.random.default_rng(5)
+    sizes = np.minimum((rnd.pareto(1.1, 20_000) * 60).astype(int) + 5, 2048)
+    tiered, plain = packing.pack(sizes, 2048, 4)[0].max() + 1, packing.pack(sizes, 2048, 1)[0].max() + 1
+    least = np.ceil(sizes.sum() / 2048)
+    assert plain <= least * 1.01 and tiered <= least * 1.02
 
 
 # ---------------------------------------------------------------- P7
