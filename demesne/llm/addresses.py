@@ -6,8 +6,10 @@ blocks: the postcode, or the sound of the street's name with its kind, or (for a
 postcode) the sound of two neighbouring words, always together with the flat, number or building sound.
 Each candidate is compared component by component; the levels include "missing on one side" and
 "nothing there on both". The weights of the levels are estimated by expectation-maximization over the
-counts of the comparison patterns, and give each pair its probability of being a match. The most
-probable premises above the threshold are taken, if no component that identifies them contradicts.
+counts of the comparison patterns, and give each pair its probability of being a match. By definition a match
+is the same flat, if any, at the same number: the share of matches with another flat, a flat on the address
+alone or another number is not estimated but held at `SLIP`, what misreading leaves. The estimated weights
+alone decide: the most probable premises of an address are taken if their probability is `probability` or more.
 
 Scale. Addresses are linked once per distinct spelling, so copies cost nothing. One shuffle joins the
 block keys; both sides carry their parsed components, so nothing is looked up again. A key with more
@@ -22,6 +24,7 @@ give one row per id and premises. Empty tables give no rows; extra columns are i
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -362,45 +365,47 @@ def compared_all(spellings: tuple, g: tuple) -> str:
 # ---------------------------------------------------------------- expectation-maximization
 
 
-def estimate(counts: dict[str, int], rounds: int = 50) -> dict[str, float]:
-    """Match probability of every pattern: two classes, components independent within a class."""
+#: Levels that no match has by definition, and the share of matches that have them for all that, by misreading.
+CONTRARY = {"flat": "dx", "number": "d"}
+SLIP = 1e-6
+
+
+def estimate(counts: dict[str, int], rounds: int = 50, strength: float = 20.0) -> dict[str, float]:
+    """Log odds of a match for every pattern: two classes, components independent within a class.
+
+    What is believed beforehand weighs as much as `strength` pairs of each class, which only matters in small tables.
+    """
     if not counts:
         return {}
     pats = sorted(counts)
     n = np.array([counts[p] for p in pats], float)
     names = list(LEVELS)
     onehot = [np.array([[c == x for x in LEVELS[name]] for c in (p[k] for p in pats)], float) for k, name in enumerate(names)]
-    start = {"a": 0.85, "f": 0.1, "p": 0.05, "m": 0.1, "n": 0.5, "d": 0.01, "x": 0.01}
-    m = [np.array([start[x] for x in LEVELS[name]]) for name in names]
-    m = [v / v.sum() for v in m]
-    u = [(o.T @ n + 1) / (n.sum() + len(LEVELS[name])) for o, name in zip(onehot, names, strict=True)]
+    contrary = [np.array([x in CONTRARY.get(name, "") for x in LEVELS[name]]) for name in names]
+    believed = {"a": (0.85, 0.2), "f": (0.1, 0.02), "p": (0.05, 0.02), "m": (0.1, 0.1), "n": (0.5, 0.2), "d": (0.01, 0.5), "x": (0.01, 0.1)}
+
+    def shares(v: np.ndarray, never: np.ndarray) -> np.ndarray:
+        v = np.where(never, 0, v)
+        return np.where(never, SLIP, v / v.sum())
+
+    m0 = [shares(np.array([believed[x][0] for x in LEVELS[name]]), never) for name, never in zip(names, contrary, strict=True)]
+    u0 = [np.array([believed[x][1] for x in LEVELS[name]]) for name in names]
+    u0 = [v / v.sum() for v in u0]
+    m, u = m0, [(o.T @ n + strength * v) / (n.sum() + strength) for o, v in zip(onehot, u0, strict=True)]
     share = 0.3
     p = np.zeros(len(pats))
     for _ in range(rounds):
-        lm = np.log(share) + sum(o @ np.log(v) for o, v in zip(onehot, m, strict=True))
-        lu = np.log(1 - share) + sum(o @ np.log(v) for o, v in zip(onehot, u, strict=True))
-        new = 1 / (1 + np.exp(np.clip(lu - lm, -500, 500)))
+        weight = np.log(share / (1 - share)) + sum(o @ (np.log(v) - np.log(w)) for o, v, w in zip(onehot, m, u, strict=True))
+        new = 1 / (1 + np.exp(-np.clip(weight, -500, 500)))
         done, p = np.abs(new - p).max() < 1e-6, new
-        share = float(np.clip((p * n).sum() / n.sum(), 1e-3, 0.999))
-        m = [(o.T @ (p * n) + 0.5) / ((p * n).sum() + 0.5 * o.shape[1]) for o in onehot]
-        u = [(o.T @ ((1 - p) * n) + 0.5) / (((1 - p) * n).sum() + 0.5 * o.shape[1]) for o in onehot]
         if done:
             break
-    weight = lm - lu
+        share = float(((p * n).sum() + 0.3 * strength) / (n.sum() + strength))
+        m = [shares(o.T @ (p * n) + strength * v, never) for o, v, never in zip(onehot, m0, contrary, strict=True)]
+        u = [(o.T @ ((1 - p) * n) + strength * v) / (((1 - p) * n).sum() + strength) for o, v in zip(onehot, u0, strict=True)]
     return {pat: float(w) for pat, w in zip(pats, weight, strict=True)}
 
 
-def plausible(pattern: str) -> bool:
-    """No identifying component contradicts: same flat if any, same number unless one side lacks it, and a common place."""
-    fl, num, building, street, town, code = pattern
-    named = building in "af" or street in "af"
-    placed = code in "af" or town in "af"
-    told = num in "ap" or building in "af"
-    if code == "d" and (building == "f" or street == "f"):
-        return False
-    return fl in "an" and num in "apmnx" and not (num == "x" and building not in "af") and named and placed and told and not (building == "d" and num not in "ap") and not (street == "d" and building not in "af")
-
-
 # ---------------------------------------------------------------- linkage
 
 _G = "uprn long, keys array<string>, flat string, num string, building string, street string, town string, locality string, code string"
@@ -429,10 +434,10 @@ def _parsed_addresses(leases: DataFrame) -> DataFrame:
             for akey, rpd, apd in zip(b["akey"], b["rpd"], b["apd"], strict=True):
                 both = [p for p in (parse(rpd), parse(apd)) if p]
                 if both:
-                    out.append((akey, address_keys(both), " ".join(p[3] for p in both), "\n".join(pack(p) for p in both)))
-            yield pd.DataFrame(out, columns=["akey", "keys", "codes", "spelt"])
+                    out.append((akey, address_keys(both), "\n".join(pack(p) for p in both)))
+            yield pd.DataFrame(out, columns=["akey", "keys", "spelt"])
 
-    return leases.select("akey", "rpd", "apd").dropDuplicates(["akey"]).mapInPandas(run, "akey string, keys array<string>, codes string, spelt string")
+    return leases.select("akey", "rpd", "apd").dropDuplicates(["akey"]).mapInPandas(run, "akey binary, keys array<string>, spelt string")
 
 
 def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -449,16 +454,15 @@ def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["akey", "uprn", "pattern"])
 
 
-def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_block: int = 2_000, threshold: float = -6.0) -> DataFrame:
+def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_block: int = 2_000, probability: float = 0.01) -> DataFrame:
     """(lease_id, uprn, pattern, weight): the premises each address denotes; weight is the log odds of a match.
 
-    The threshold is low because of a pair's odds only the best of an address counts, and only if no
-    identifying component contradicts.
+    `probability` is low because it is a pair's, before it is known that the address has no better premises.
     """
     spark = leases.sparkSession
-    akey = F.md5(F.concat_ws("\x1f", F.coalesce("rpd", F.lit("")), F.coalesce("apd", F.lit(""))))
+    akey = F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce("rpd", F.lit("")), F.coalesce("apd", F.lit("")))))
     rows = leases.select(F.col(id_column).alias("lease_id"), akey.alias("akey"), "rpd", "apd").filter(F.col("lease_id").isNotNull())
-    a = _parsed_addresses(rows).select("akey", "codes", "spelt", F.explode("keys").alias("key"))
+    a = _parsed_addresses(rows).select("akey", "spelt", F.explode("keys").alias("key"))
     g = cut(_parsed_premises(gazetteer))
     parts = ["flat", "num", "building", "street", "town", "locality", "code"]
     keyed = g.select("uprn", *parts, F.explode("keys").alias("key"))
@@ -470,12 +474,12 @@ def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_bl
         return df.join(hot, "key", "left").withColumn("salt", salt).drop("salts")
 
     # premises with the address's postcode are met by that; the street key is for all others
-    twice = F.col("key").startswith("S|") & (F.col("code") != "") & F.contains("codes", "code")
+    twice = F.col("key").startswith("S|") & (F.col("code") != "") & F.contains("spelt", F.concat(F.lit("\t"), "code"))
     pairs = salted(a, F.explode(F.sequence(F.lit(0), salts - 1))).join(salted(keyed, F.pmod(F.hash("uprn"), salts)), ["key", "salt"]).filter(~twice).select("akey", "spelt", "uprn", *parts)
-    compared = pairs.mapInPandas(_compare_batches, "akey string, uprn long, pattern string")
+    compared = pairs.mapInPandas(_compare_batches, "akey binary, uprn long, pattern string")
     best = cut(compared.distinct())
     counts = {r["pattern"]: r["count"] for r in best.groupBy("pattern").count().collect()}
-    weights = [(p, w) for p, w in estimate(counts).items() if w > threshold and plausible(p)]
+    weights = [(p, w) for p, w in estimate(counts).items() if w >= math.log(probability / (1 - probability))]
     told = spark.createDataFrame(weights or [("", 0.0)], "pattern string, weight double")
     # the patterns are bounded by the levels of the components
     likely = best.join(F.broadcast(told), "pattern")

@@ -56,9 +56,9 @@ def test_links(spark):
         ("a", "Apt 1, Opal Hl, Coppre Hill (QA1 1AA)", None, 1),
     ]
     leases = spark.createDataFrame(rows, "_id string, rpd string, apd string, key int")
-    got = {(r["lease_id"], r["uprn"]) for r in addresses.link(leases, _gazetteer(spark), threshold=-99.0).select("lease_id", "uprn").distinct().collect()}
+    got = {(r["lease_id"], r["uprn"]) for r in addresses.link(leases, _gazetteer(spark), probability=1e-3).select("lease_id", "uprn").distinct().collect()}
     assert got == {("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5), ("f", 6)}
-    hot = {(r["lease_id"], r["uprn"]) for r in addresses.link(leases, _gazetteer(spark), threshold=-99.0, max_block=1).select("lease_id", "uprn").distinct().collect()}
+    hot = {(r["lease_id"], r["uprn"]) for r in addresses.link(leases, _gazetteer(spark), probability=1e-3, max_block=1).select("lease_id", "uprn").distinct().collect()}
     assert hot == got
     assert addresses.link(leases.limit(0), _gazetteer(spark)).count() == 0
     assert addresses.link(leases, _gazetteer(spark).limit(0)).count() == 0
@@ -70,7 +70,7 @@ def test_full_blocks_are_compared_whole(spark):
     gaz = spark.createDataFrame(rows, _gazetteer(spark).schema)
     leases = spark.createDataFrame([("a", "Flat 1, Opsl Hall QA1 1AA", None)], "_id string, rpd string, apd string")
     assert addresses.sound("OPSL") != addresses.sound("OPAL")
-    pairs = [{tuple(r) for r in addresses.link(leases, gaz, threshold=-99.0, max_block=n).select("lease_id", "uprn").collect()} for n in (2_000, 2, 1)]
+    pairs = [{tuple(r) for r in addresses.link(leases, gaz, probability=1e-3, max_block=n).select("lease_id", "uprn").collect()} for n in (2_000, 2, 1)]
     assert pairs == [{("a", 1)}] * 3
 
 
