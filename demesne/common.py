@@ -25,10 +25,12 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one is made only where none is configured."""
+    """The folder that all executors share. Only a local session may do without one; a cluster must name it."""
     sc = spark.sparkContext
     given = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not given:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         given = "file://" + tempfile.mkdtemp(prefix="demesne-checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(given)
@@ -52,6 +54,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the tables written so far; results that still read from them must have been written or collected."""
+    _remove(spark, f"{checkpoint_dir(spark).rstrip('/')}/demesne-{spark.sparkContext.applicationId}")
+
+
 _FOLDERS: set[str] = set()
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,23 +40,55 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def two_sample_t(df: DataFrame, value: str, group: Column) -> DataFrame:
-    """Equal-variance t statistic and degrees of freedom of value where group holds against where it does not."""
+    """Equal-variance t, degrees of freedom and two-sided p-value of value where group holds against where it does not."""
     m = df.filter(F.col(value).isNotNull() & group.isNotNull()).agg(
         *[f(F.when(g, F.col(value))).alias(f"{n}{k}") for k, g in ((1, group), (2, ~group)) for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp))]
     )
     pooled = ((F.col("n1") - 1) * F.col("v1") + (F.col("n2") - 1) * F.col("v2")) / (F.col("n1") + F.col("n2") - 2)
-    return m.select("n1", "n2", ((F.col("m1") - F.col("m2")) / F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2")))).alias("t"), (F.col("n1") + F.col("n2") - 2).alias("df"))
+    return m.select("n1", "n2", ((F.col("m1") - F.col("m2")) / F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2")))).alias("t"), (F.col("n1") + F.col("n2") - 2).alias("df")).withColumn("p", F.pandas_udf(two_sided_t, "double")("t", "df"))
 
 
 def mann_whitney(df: DataFrame, value: str, group: Column) -> DataFrame:
-    """U of the first group and z by the tie-corrected normal approximation."""
+    """U of the first group, z by the tie-corrected normal approximation, and its two-sided p-value."""
     d = df.filter(F.col(value).isNotNull() & group.isNotNull()).select(value, group.alias("_g"))
     ranked = average_rank(d, value, "_r")
     ties = d.groupBy(value).count().agg(F.sum(F.col("count") ** 3 - F.col("count")).alias("ties"))
     s = ranked.agg(F.count_if("_g").alias("n1"), F.count_if(~F.col("_g")).alias("n2"), F.sum(F.when(F.col("_g"), F.col("_r"))).alias("r1")).crossJoin(F.broadcast(ties))  # one row each
     u, n = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2, F.col("n1") + F.col("n2")
     sd = F.sqrt(F.col("n1") * F.col("n2") / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    return s.select("n1", "n2", u.alias("u"), ((u - F.col("n1") * F.col("n2") / 2.0) / sd).alias("z"))
+    return s.select("n1", "n2", u.alias("u"), ((u - F.col("n1") * F.col("n2") / 2.0) / sd).alias("z")).withColumn("p", F.pandas_udf(two_sided_normal, "double")("z"))
+
+
+def two_sided_normal(z: pd.Series) -> pd.Series:
+    """The chance of a standard normal at least as far from 0; for one row per test."""
+    return z.astype("float64").map(lambda x: math.erfc(abs(x) / math.sqrt(2)), na_action="ignore")
+
+
+def student_tail(t: float, df: float) -> float:
+    """The chance of a t value at least as far from 0: the incomplete beta function by its continued fraction."""
+    x = df / (df + t * t)
+    a, b = df / 2, 0.5
+    if x >= 1:
+        return 1.0
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1 - x))
+
+    def fraction(a: float, b: float, x: float) -> float:
+        c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
+        h = d
+        for m in range(1, 300):
+            for k in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d, c = 1 / (1 + k * d), 1 + k / c
+                h *= c * d
+            if abs(c * d - 1) < 1e-15:
+                break
+        return h
+
+    return front * fraction(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1 - front * fraction(b, a, 1 - x) / b
+
+
+def two_sided_t(t: pd.Series, df: pd.Series) -> pd.Series:
+    """student_tail of each row; for one row per test."""
+    return pd.Series([None if pd.isna(x) else student_tail(float(x), float(n)) for x, n in zip(t, df, strict=True)], dtype="float64")
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demesne.common import micros, strip
+from demesne.common import cut, micros, strip
 
 KEY = ("uid", "ro", "apid")
 
@@ -99,7 +99,7 @@ def committed_through(marks: DataFrame) -> str | None:
 
 def replay(changes: DataFrame, manifest: DataFrame | None = None, start: str | None = None, ordered: DataFrame | None = None) -> DataFrame:
     """(uid, ro, apid, version, row_no) of every key that exists at the watermark."""
-    assembled = ordered if ordered is not None else transactions(changes)
+    assembled = ordered if ordered is not None else cut(transactions(changes))
     through = committed_through(watermark(assembled, manifest, start))
     visible = assembled.filter(F.col("op").isNotNull() & (F.col("version") <= F.lit(through)))
     last = F.max(F.struct("version", (F.col("op") == "A").alias("added"), "row_no")).alias("last")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demesne.functions.text import FIELDS, char_difference, text_value
@@ -73,3 +73,35 @@ def update_log(changes: DataFrame, decisions: DataFrame) -> DataFrame:
     per = changes.groupBy("version").agg(F.count_if(kind == "A").alias("added"), F.count_if(~F.coalesce(kind, F.lit("")).isin("A", "D")).alias("skipped"))
     of = decisions.groupBy("version").agg(F.countDistinct(F.when(F.col("decision").isin("single", "exact", "near"), F.col("lease_id"))).alias("deleted"), F.count_if(F.col("decision") == "unknown").alias("unknown"), F.count_if(F.col("decision") == "ambiguous").alias("manual_review"))
     return per.join(of, "version", "left").na.fill(0, ["deleted", "unknown", "manual_review"])
+
+
+def encoded_pairs(pairs: DataFrame) -> DataFrame:
+    """The id pairs as one JSON text a row, for a log that people read."""
+    return pairs.select(F.to_json(F.struct("ext_id", "lease_id"), {"ignoreNullFields": "false"}).alias("pair"))
+
+
+def decoded_pairs(lines: DataFrame) -> DataFrame:
+    return lines.select(F.from_json("pair", "ext_id string, lease_id string").alias("p")).select("p.*")
+
+
+def _done(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def resumable_delete(ext: DataFrame, leases: DataFrame, pairs: DataFrame, folder: str) -> dict[str, str]:
+    """Delete the records of the pairs, enriched ones before leases, in steps that a second run does not repeat.
+
+    The steps are tables in `folder`, which all executors share: the pairs, the enriched records left, the leases left.
+    A step is done once its table is complete; a run that was cut off goes on with the first that is not, from
+    the pairs as they were first found. Nothing is overwritten: the caller swaps the tables in when all are there.
+    """
+    spark = ext.sparkSession
+    at = {k: f"{folder.rstrip('/')}/{k}" for k in ("pairs", "ext", "leases")}
+    if not _done(spark, at["pairs"]):
+        encoded_pairs(pairs).write.mode("overwrite").text(at["pairs"])
+    ids = decoded_pairs(spark.read.text(at["pairs"]).withColumnRenamed("value", "pair"))
+    for k, df, mine, theirs in (("ext", ext, "_id", "ext_id"), ("leases", leases, "_id", "lease_id")):
+        if not _done(spark, at[k]):
+            df.join(ids.select(F.col(theirs).alias(mine)).distinct(), mine, "left_anti").write.mode("overwrite").parquet(at[k])
+    return at

@@ -7,6 +7,7 @@ says is parsed by expressions and accepted only if the result is valid. No weigh
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,3 +47,10 @@ def with_model(df: DataFrame, term: str, predict: Callable[[list[str]], list[str
     said = df.withColumn("_said", parse_output(answer(F.col(term))))
     ok = is_valid(findings(F.col("_said.start"), F.col("_said.expiry"), F.col("_said.tenure"), reference))
     return said.withColumn(out, F.struct("_said.start", "_said.expiry", "_said.tenure", ok.alias("valid"))).select(*keep, out)
+
+
+@lru_cache(4)
+def single(load: Callable[[], Callable[[list[str]], list[str]]]) -> Callable[[str], str]:
+    """A reader of one term at a time: the model is loaded once, at the first; the term goes in as it is, without repairs."""
+    predict = load()
+    return lambda term: predict([PROMPT + term])[0] if term and term.strip() else ""

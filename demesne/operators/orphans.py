@@ -84,13 +84,16 @@ def orphan_references(
     time_column: str = "loaded_at",
     ranges: int | None = None,
     hot_refs: int = 100_000,
+    most_hot: int = 20_000,
 ) -> DataFrame:
     """(record_id, ref_field, kind, first_at) for every record and failing field.
 
     parents and deleted give, for each reference field of `references`, the tables and columns that
-    hold its live and its deleted keys; live tables have time_column.
+    hold its live and its deleted keys; live tables have time_column. A key with `hot_refs` references or more,
+    or so many more that there can be no more than `most_hot` such keys, is joined by broadcast.
     """
     spark = references.sparkSession
+    hot_refs = max(hot_refs, references.count() * len(parents) // most_hot)
     fields = list(parents)
     narrow = references.select(F.col(id_column).alias("record_id"), micros(time_column).alias("at"), *[reference_key(f).alias(f"k_{i}") for i, f in enumerate(fields)])
     keyed = narrow.groupBy("record_id", *[f"k_{i}" for i in range(len(fields))]).agg(F.min("at").alias("at"))

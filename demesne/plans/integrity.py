@@ -84,6 +84,29 @@ def p5_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changefeed.watermark(changefeed.transactions(table(spark, sf_dir, "leasechanges")))
 
 
+_P5_VERSIONS = ", vs AS (SELECT version, row_number() OVER (ORDER BY version) AS nth FROM (SELECT DISTINCT version FROM leasechanges))"
+_P5_UNTIL = ", w AS (SELECT *, row_number() OVER (PARTITION BY uid, ro, apid ORDER BY version DESC, op, row_no DESC) AS kk FROM c JOIN vs USING (version) WHERE nth < {nth}) SELECT uid, ro, apid, version, row_no FROM w WHERE kk = 1 AND op = 'A'"
+
+
+def _version(changes: DataFrame, nth: int) -> str:
+    return [r[0] for r in changes.select("version").distinct().orderBy("version").collect()][nth - 1]  # one row per month
+
+
+@REGISTRY.add("p5_held_gap", _P5_SQL + _P5_VERSIONS + _P5_UNTIL.format(nth=4))
+def p5_held_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose fourth month is missing: later months have arrived and are held back."""
+    changes = table(spark, sf_dir, "leasechanges")
+    return changefeed.replay(changes.filter(F.col("version") != _version(changes, 4)))
+
+
+@REGISTRY.add("p5_held_incomplete", _P5_SQL + _P5_VERSIONS + _P5_UNTIL.format(nth=6))
+def p5_held_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest says how many changes each month has; the sixth lacks one, so it and what follows are held back."""
+    changes = table(spark, sf_dir, "leasechanges")
+    manifest = changes.groupBy("version").agg((F.countDistinct("row_no") + (F.first("version") == _version(changes, 6)).cast("long")).alias("n_changes"))
+    return changefeed.replay(changes, manifest)
+
+
 # ---------------------------------------------------------------- P2
 
 P2_CTE = """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from demesne.common import table
 from demesne.functions import dates, geo, text
 from demesne.functions.validate import findings
-from demesne.operators import analytics, delta, match
+from demesne.operators import analytics, delta, match, regions
 from demesne.operators.spatial import containing_regions, position
 from demesne.plans.integrity import P2_CTE
 from demesne.plans.records import EXT_CTE as _EXT, LEASES_CTE, REFERENCE, ext as _ext, leases as _leases, ref as _ref
@@ -322,19 +322,21 @@ def agg_coverage(spark, d):
 
 
 def _located(spark, d):
-    """Records with their district: code, OUTSIDE_DISTRICTS, or NO_LOCATION."""
+    """Records with their district: code, OUTSIDE_DISTRICTS, ERRORS (a location that cannot be used), or NO_LOCATION."""
     raw = _t(spark, d, "leasesext")
     held = containing_regions(raw, _t(spark, d, "districts"), "lad_code").groupBy("id").agg(F.min("region").alias("code"))
-    placed = raw.filter(position().isNotNull()).select(F.col("_id").alias("id")).distinct().withColumn("placed", F.lit(True))
+    given = F.col("loc.coordinates").isNotNull() | F.col("lat").isNotNull() | F.col("lon").isNotNull()
+    placed = raw.filter(given).groupBy(F.col("_id").alias("id")).agg(F.bool_or(position().isNotNull()).alias("placed"))
     j = _ext(spark, d).join(held, F.col("_id") == held["id"], "left").drop("id").join(placed, F.col("_id") == placed["id"], "left").drop("id")
-    code = F.coalesce("code", F.when(F.col("placed"), "OUTSIDE_DISTRICTS").otherwise("NO_LOCATION"))
+    code = F.coalesce("code", F.when(F.col("placed"), "OUTSIDE_DISTRICTS").when(~F.col("placed"), "ERRORS").otherwise("NO_LOCATION"))
     return j.withColumn("code", code).withColumn("years", dates.years_remaining(F.col("exp"), _ref())).drop("placed")
 
 
 _LOCATED = f"""{P2_CTE}, {_EXT},
 held AS (SELECT p.id, min(c.lad_code) AS lad FROM p JOIN crossed c USING (lon, lat) GROUP BY 1),
 placed AS (SELECT DISTINCT id FROM p),
-located AS (SELECT ext.*, coalesce(lad, CASE WHEN placed.id IS NOT NULL THEN 'OUTSIDE_DISTRICTS' ELSE 'NO_LOCATION' END) AS code, {_YEARS} AS years FROM ext LEFT JOIN held ON held.id = ext._id LEFT JOIN placed ON placed.id = ext._id)
+given AS (SELECT DISTINCT _id AS id FROM leasesext WHERE loc.coordinates IS NOT NULL OR lat IS NOT NULL OR lon IS NOT NULL),
+located AS (SELECT ext.*, coalesce(lad, CASE WHEN placed.id IS NOT NULL THEN 'OUTSIDE_DISTRICTS' WHEN given.id IS NOT NULL THEN 'ERRORS' ELSE 'NO_LOCATION' END) AS code, {_YEARS} AS years FROM ext LEFT JOIN held ON held.id = ext._id LEFT JOIN placed ON placed.id = ext._id LEFT JOIN given ON given.id = ext._id)
 """
 
 
@@ -370,11 +372,65 @@ def agg_region_totals(spark, d):
     return _located(spark, d).filter(F.col("code").startswith("Z")).groupBy(F.substring("code", 1, 4).alias("region")).agg(F.count("*").alias("n"), F.round(F.avg("years"), 4).alias("avg_years"))
 
 
+@add("agg_code_subset", _LOCATED + "SELECT code LIKE 'ZD06%' AS inside, count(*) AS n, count(DISTINCT code) AS n_districts FROM located WHERE code LIKE 'Z%' GROUP BY 1")
+def agg_code_subset(spark, d):
+    """Records in the districts whose code begins so, against all others."""
+    inside = F.col("code").startswith("ZD06").alias("inside")
+    return _located(spark, d).filter(F.col("code").startswith("Z")).groupBy(inside).agg(F.count("*").alias("n"), F.countDistinct("code").alias("n_districts"))
+
+
+_CENTROIDS = P2_CTE + """
+, cr AS (SELECT lad_code, row_number() OVER () AS ring, r FROM (SELECT lad_code, rings[1] AS r FROM polys)),
+holes AS (SELECT lad_code, unnest(rings[2:]) AS r FROM polys),
+rr AS (SELECT lad_code, 1 AS sign, CAST(r AS DOUBLE[][]) AS v FROM cr UNION ALL SELECT lad_code, -1, CAST(r AS DOUBLE[][]) FROM holes),
+ee AS (SELECT lad_code, sign, k, v[1][1] AS ox, v[1][2] AS oy, v[i][1] - v[1][1] AS x1, v[i][2] - v[1][2] AS y1, v[i % len(v) + 1][1] - v[1][1] AS x2, v[i % len(v) + 1][2] - v[1][2] AS y2 FROM (SELECT *, row_number() OVER () AS k FROM rr) q, unnest(range(1, len(v) + 1)) AS u(i)),
+ringsum AS (SELECT lad_code, sign, k, any_value(ox) AS ox, any_value(oy) AS oy, sum(x1 * y2 - x2 * y1) / 2 AS a, sum((x1 + x2) * (x1 * y2 - x2 * y1)) / 6 AS sx, sum((y1 + y2) * (x1 * y2 - x2 * y1)) / 6 AS sy FROM ee GROUP BY ALL)
+SELECT lad_code AS code, round(sum(sign * sign(a) * (sx + ox * a)) / sum(sign * abs(a)), 6) AS lon, round(sum(sign * sign(a) * (sy + oy * a)) / sum(sign * abs(a)), 6) AS lat FROM ringsum GROUP BY 1
+"""
+
+
+@add("geo_centroids", _CENTROIDS)
+def geo_centroids(spark, d):
+    """Centroids of the districts, holes excepted."""
+    return regions.with_points(_t(spark, d, "districts"), "lad_code").select("code", F.round("centre_lon", 6).alias("lon"), F.round("centre_lat", 6).alias("lat"))
+
+
+@add("geo_inner_points", P2_CTE + "SELECT lad_code AS code, true AS held FROM districts WHERE geometry IS NOT NULL")
+def geo_inner_points(spark, d):
+    """The representative point of every district lies in it and in no other."""
+    p = regions.with_points(_t(spark, d, "districts"), "lad_code").select(F.col("code").alias("_id"), F.col("inner_lon").alias("lon"), F.col("inner_lat").alias("lat"), F.lit(None).cast("struct<type:string,coordinates:array<double>>").alias("loc"))
+    return containing_regions(p, _t(spark, d, "districts"), "lad_code").groupBy(F.col("id").alias("code")).agg((F.collect_set("region") == F.array("code")).alias("held"))
+
+
+def _strips(spark):
+    """Three larger areas with gaps between and around them."""
+    box = lambda a, b: f'{{"type": "Polygon", "coordinates": [[[{a}, 49.5], [{b}, 49.5], [{b}, 60.5], [{a}, 60.5], [{a}, 49.5]]]}}'
+    return spark.createDataFrame([("west", box(-7.5, -4.4)), ("middle", box(-4.2, -2.1)), ("east", box(-1.9, 1.5))], "region string, geometry string")
+
+
+@add("join_district_region")
+def join_district_region(spark, d):
+    """Each district with its region by representative point, centroid or nearness (brute force in the tests)."""
+    return regions.regions_of(_t(spark, d, "districts"), _strips(spark), "lad_code", "region")
+
+
+@add("join_merged_geometry", _LOCATED + "SELECT lad_code, lad_name, geometry, coalesce(n, 0) AS n FROM districts LEFT JOIN (SELECT code, count(*) AS n FROM located GROUP BY 1) c ON c.code = lad_code")
+def join_merged_geometry(spark, d):
+    """Every district's geometry with its result, zero where it has none."""
+    n = _located(spark, d).groupBy("code").agg(F.count("*").alias("n"))
+    return _t(spark, d, "districts").join(n, F.col("lad_code") == F.col("code"), "left").select("lad_code", "lad_name", "geometry", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 @add("agg_top_districts", _LOCATED + "SELECT code, count(*) AS n FROM located WHERE code LIKE 'Z%' GROUP BY 1 ORDER BY n DESC, code LIMIT 5")
 def agg_top_districts(spark, d):
     return _located(spark, d).filter(F.col("code").startswith("Z")).groupBy("code").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code").limit(5)
 
 
+@add("agg_bottom_districts", _LOCATED + "SELECT code, count(*) AS n FROM located WHERE code LIKE 'Z%' GROUP BY 1 ORDER BY n, code LIMIT 20")
+def agg_bottom_districts(spark, d):
+    return _located(spark, d).filter(F.col("code").startswith("Z")).groupBy("code").agg(F.count("*").alias("n")).orderBy("n", "code").limit(20)
+
+
 @add("agg_expiring_soon", _LOCATED + "SELECT code, count(*) AS n, rank() OVER (ORDER BY count(*) DESC) AS rank FROM located WHERE code LIKE 'Z%' AND years BETWEEN 0 AND 50 GROUP BY 1")
 def agg_expiring_soon(spark, d):
     g = _located(spark, d).filter(F.col("code").startswith("Z") & F.col("years").between(0, 50)).groupBy("code").agg(F.count("*").alias("n"))
@@ -436,13 +492,13 @@ _GROUPS = "g AS (SELECT views, years >= 70 AND years < 90 AS near FROM viewed WH
 @add("agg_t_test", _VIEWED + f", {_GROUPS}, m AS (SELECT count(*) FILTER (near) AS n1, count(*) FILTER (NOT near) AS n2, avg(views) FILTER (near) AS m1, avg(views) FILTER (NOT near) AS m2, var_samp(views) FILTER (near) AS v1, var_samp(views) FILTER (NOT near) AS v2 FROM g) SELECT n1, n2, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6) AS t, n1 + n2 - 2 AS df FROM m")
 def agg_t_test(spark, d):
     v = _viewed(spark, d).filter("years IS NOT NULL")
-    return analytics.two_sample_t(v, "views", dates.is_approaching(F.col("years"))).withColumn("t", F.round("t", 6))
+    return analytics.two_sample_t(v, "views", dates.is_approaching(F.col("years"))).select("n1", "n2", F.round("t", 6).alias("t"), "df")  # p is checked in the tests
 
 
-@add("agg_mann_whitney", _VIEWED + f", {_GROUPS}, k AS (SELECT near, rank() OVER (ORDER BY views) + (count(*) OVER (PARTITION BY views) - 1) / 2 AS r FROM g) SELECT count(*) FILTER (near) AS n1, count(*) FILTER (NOT near) AS n2, round(sum(r) FILTER (near) - count(*) FILTER (near) * (count(*) FILTER (near) + 1) / 2, 4) AS u FROM k")
+@add("agg_mann_whitney", _VIEWED + f", {_GROUPS}, k AS (SELECT near, rank() OVER (ORDER BY views) + (count(*) OVER (PARTITION BY views) - 1) / 2 AS r FROM g) SELECT count(*) FILTER (near) AS n1, count(*) FILTER (NOT near) AS n2, round(sum(r) FILTER (near) - count(*) FILTER (near) * (count(*) FILTER (near) + 1) / 2, 4) AS u, round((u - n1 * n2 / 2) / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - (SELECT sum(pow(n, 3) - n) FROM (SELECT count(*) AS n FROM g GROUP BY views)) / ((n1 + n2) * (n1 + n2 - 1)))), 4) AS z FROM k")
 def agg_mann_whitney(spark, d):
     v = _viewed(spark, d).filter("years IS NOT NULL")
-    return analytics.mann_whitney(v, "views", dates.is_approaching(F.col("years"))).select("n1", "n2", F.round("u", 4).alias("u"))
+    return analytics.mann_whitney(v, "views", dates.is_approaching(F.col("years"))).select("n1", "n2", F.round("u", 4).alias("u"), F.round("z", 4).alias("z"))
 
 
 @add("agg_histogram", f"WITH {_EXT}, y AS (SELECT {_YEARS} AS v FROM ext WHERE exp IS NOT NULL), e AS (SELECT min(v) AS lo, max(v) AS hi FROM y) SELECT CAST(coalesce(least(floor((v - lo) * 30 / nullif(hi - lo, 0)), 29), 0) AS INTEGER) AS bin, count(*) AS n FROM y, e GROUP BY 1")

@@ -87,5 +87,24 @@ def export_csv(df: DataFrame, path: str, first: str = "uid") -> None:
     df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in order]).coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
+def write_matches(found: DataFrame, missed: DataFrame, folder: str) -> None:
+    """Append matches and misses to their CSV folders; every part has its header, so a folder reads as one table."""
+    for df, name in ((found, "found"), (missed, "not_found")):
+        df.write.mode("append").csv(f"{folder}/{name}", header=True)
+
+
+def export_features(df: DataFrame, path: str, geometry: str = "geometry") -> None:
+    """One GeoJSON feature a line: the geometry and every other column as a property."""
+    properties = F.to_json(F.struct(*[c for c in df.columns if c != geometry]), {"ignoreNullFields": "false"})
+    line = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit("}"))
+    df.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def find(df: DataFrame, condition: str = "true", limit: int | None = None) -> DataFrame:
+    """Rows that meet a condition, at most `limit`; with 1 a sample document."""
+    got = df.filter(condition)
+    return got if limit is None else got.limit(limit)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)

@@ -1,6 +1,7 @@
-"""Change files as a stream: every micro-batch is appended under its version, then the state is replayed.
+"""Change files as a stream: every micro-batch is kept in a folder of its own, then the state is replayed.
 
-The version is the idempotency key: a batch that is delivered again overwrites its own partition.
+A micro-batch that is run again overwrites its folder. Changes that come twice in different batches are one
+change by their version and row number.
 """
 
 from __future__ import annotations

@@ -137,3 +137,113 @@ def test_stream_replays_files(spark, tmp_path):
         part.write.mode("append").parquet(at["in"])
         follow(spark, at["in"], a.schema.simpleString()[7:-1].replace(":", " "), at["log"], at["state"], at["cp"]).awaitTermination(120)
     assert _state(spark.read.parquet(at["state"])) == {("B", "1", "1"): ("2025-02", 2)}
+
+
+@pytest.mark.parametrize("t,df,want", [(0.0, 5, 1.0), (2.570582, 5, 0.05), (-2.228139, 10, 0.05), (3.169273, 10, 0.01), (1.959964, 1e7, 0.05), (12.7062, 1, 0.05)])
+def test_student_tail(t, df, want):
+    from demesne.operators.analytics import student_tail
+
+    assert abs(student_tail(t, df) - want) < 1e-5
+
+
+def test_p_values_of_two_groups(spark):
+    from demesne.operators import analytics
+
+    df = spark.createDataFrame([(v, g) for g, vs in ((True, [1, 2, 3, 4]), (False, [3, 4, 5, 6, 9])) for v in vs], "v int, g boolean")
+    t = analytics.two_sample_t(df, "v", F.col("g")).first()
+    assert abs(t["t"] + 2.234550) < 1e-6 and 0.060 < t["p"] < 0.061
+    u = analytics.mann_whitney(df, "v", F.col("g")).first()
+    assert u["u"] == 2.0 and 0.04 < u["p"] < 0.06
+    assert analytics.two_sample_t(df.limit(0), "v", F.col("g")).first()["p"] is None
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from demesne.common import checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=context))
+
+
+def _polygon(*rings):
+    import json
+
+    return json.dumps({"type": "Polygon", "coordinates": [[list(p) for p in r] for r in rings]})
+
+
+def test_points_of_polygons():
+    from demesne.operators import regions
+    from demesne.operators.spatial import edges_of, inside, rings_of
+
+    import numpy as np
+
+    square = rings_of(_polygon([(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]))
+    assert regions.centroid(square) == pytest.approx((2, 2)) and regions.representative_point(square) == pytest.approx((2, 2))
+    holed = rings_of(_polygon([(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(2, 0.5), (3.9, 0.5), (3.9, 3.5), (2, 3.5), (2, 0.5)]))
+    assert regions.centroid(holed)[0] == pytest.approx((16 * 2 - 5.7 * 2.95) / (16 - 5.7))
+    crescent = rings_of(_polygon([(0, 0), (6, 0), (6, 1), (1, 1), (1, 5), (6, 5), (6, 6), (0, 6), (0, 0)]))
+    for r in (holed, crescent):
+        x, y = regions.representative_point(r)
+        assert inside(np.array([x]), np.array([y]), edges_of(r))[0]
+    x, y = regions.centroid(crescent)
+    assert not inside(np.array([x]), np.array([y]), edges_of(crescent))[0]
+    assert regions.distance((5, 2), edges_of(square)) == pytest.approx(1 * np.cos(np.radians(2)))
+    assert regions.centroid([]) is None and regions.representative_point(rings_of("no shape")) is None
+
+
+def test_region_of_a_district(spark):
+    from demesne.operators import regions
+
+    box = lambda a, b: _polygon([(a, 50), (b, 50), (b, 51), (a, 51), (a, 50)])
+    larger = spark.createDataFrame([("L", box(0, 2)), ("R", box(4, 6)), (None, box(0, 9))], "region string, geometry string")
+    rows = [("inner", box(1, 2.5)), ("nearest", box(3.1, 3.5)), ("lost", None), ("odd", "{}")]
+    got = {r["code"]: (r["region"], r["how"]) for r in regions.regions_of(spark.createDataFrame(rows, "code string, geometry string"), larger, "code", "region").collect()}
+    assert got == {"inner": ("L", "inner"), "nearest": ("R", "nearest"), "lost": (None, None), "odd": (None, None)}
+    with pytest.raises(ValueError):
+        regions.regions_of(larger, larger, "region", "region", most_regions=1)
+    assert regions.regions_of(larger.limit(0), larger, "region", "region").count() == 0
+
+
+def test_delete_goes_on_where_it_stopped(spark, tmp_path):
+    ext = spark.createDataFrame([("e1", "l1"), ("e2", "l2"), ("e3", None)], "_id string, lid string")
+    leases = spark.createDataFrame([("l1",), ("l2",), ("l3",)], "_id string")
+    pairs = spark.createDataFrame([("e1", "l1"), ("e3", None)], "ext_id string, lease_id string")
+    folder = str(tmp_path / "work")
+    at = delta.resumable_delete(ext, leases, pairs, folder)
+    assert {r[0] for r in spark.read.parquet(at["ext"]).select("_id").collect()} == {"e2"}
+    assert {r[0] for r in spark.read.parquet(at["leases"]).collect()} == {"l2", "l3"}
+    # the last step is lost: a second run repeats that one only, and by the pairs first found
+    import shutil
+
+    shutil.rmtree(at["leases"])
+    before = (tmp_path / "work" / "ext" / "_SUCCESS").stat().st_mtime_ns
+    delta.resumable_delete(ext, leases, pairs.limit(0), folder)
+    assert {r[0] for r in spark.read.parquet(at["leases"]).collect()} == {"l2", "l3"}
+    assert (tmp_path / "work" / "ext" / "_SUCCESS").stat().st_mtime_ns == before
+
+
+def test_match_and_feature_files(spark, tmp_path):
+    import json
+
+    df = spark.createDataFrame([("a", 1)], "id string, n int")
+    for _ in range(2):
+        files.write_matches(df, df.limit(0), str(tmp_path))
+    assert spark.read.csv(str(tmp_path / "found"), header=True).count() == 2
+    files.export_features(spark.createDataFrame([("Z1", _polygon([(0, 0), (1, 0), (0, 1), (0, 0)]), None), ("Z2", None, 3)], "code string, geometry string, n int"), str(tmp_path / "f"))
+    got = {f["properties"]["code"]: f for f in (json.loads(r[0]) for r in spark.read.text(str(tmp_path / "f")).collect())}
+    assert got["Z1"]["geometry"]["type"] == "Polygon" and got["Z1"]["properties"]["n"] is None and got["Z2"]["geometry"] is None
+    assert files.find(df, "n = 1", 1).count() == 1
+
+
+def test_single_reader_loads_once():
+    from demesne.operators.model_hook import single
+
+    loads = []
+
+    def load():
+        loads.append(1)
+        return lambda prompts: [p.upper() for p in prompts]
+
+    assert single(load)("99 yrs") == "PARSE LEASE: 99 YRS" and single(load)(" ") == "" and len(loads) == 1
