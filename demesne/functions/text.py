@@ -54,7 +54,7 @@ def base_number(c: Column) -> Column:
 def short_address(c: Column) -> Column:
     """With two or more commas the first part is dropped."""
     parts = F.split(c, ",")
-    return F.when(F.size(parts) > 2, F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), F.trim), ", ")).otherwise(c)
+    return F.when(F.size(parts) > 2, F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), lambda p: F.trim(p)), ", ")).otherwise(c)
 
 
 def split_road(road: Column, house_number: Column) -> Column:

@@ -10,7 +10,7 @@ from demesne.common import table
 #: Reference dates are literals: results must not depend on the day of the run.
 REFERENCE = "2026-06-30"
 _EXT = ("uid", "lid", "st", "exp", "ty", "cl", "apc", "aup", "pt", "tf")
-_LEASE = ("uid", "uprn", "rpd", "apd", "pc", "cty", "ro", "apid", "aci", "term", "dol")
+_LEASE = ("uid", "uprn", "rpd", "apd", "pc", "cty", "rgn", "ro", "apid", "ppd", "aci", "term", "dol")
 
 
 def ref() -> Column:

@@ -292,7 +292,21 @@ def fn_any_expiry(spark, d):
     return dol.unionAll(version).unionAll(forms).distinct().withColumn("day", dates.any_expiry(F.col("t")))
 
 
-@add("fn_address_parts")
+_PC = r"(?i)\b[A-Z]{1,2}\d{1,2}[A-Z]?\s?\d[A-Z]{2}\b"
+_PARTS = rf"""
+WITH a AS (SELECT _id, CASE WHEN len(string_split(apd, ',')) > 2 THEN array_to_string(list_transform(string_split(apd, ',')[2:], lambda s: trim(s)), ', ') ELSE apd END AS t FROM leases),
+b AS (SELECT _id, nullif(upper(regexp_replace(regexp_extract(t, '{_PC}', 0), '\s+', ' ', 'g')), '') AS postcode,
+  list_filter(list_transform(string_split(regexp_replace(regexp_replace(upper(t), '{_PC}', '', 'g'), '[()]', ' ', 'g'), ','), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '') AS ps FROM a),
+c AS (SELECT *, list_filter(ps, lambda s: regexp_matches(s, '^\d+[A-Z]?(-\d+[A-Z]?)?\s+\S'))[-1] AS numbered FROM b),
+e AS (SELECT _id, postcode, nullif(regexp_extract(numbered, '^(\d+[A-Z]?(?:-\d+[A-Z]?)?)\s', 1), '') AS house_number, CASE WHEN len(ps) > 1 AND NOT regexp_matches(ps[-1], '^\d') THEN ps[-1] END AS city,
+  upper(coalesce(nullif(regexp_replace(numbered, '^\d+[A-Z]?(?:-\d+[A-Z]?)?\s+', ''), ''), ps[1])) AS r FROM c),
+s AS (SELECT *, CASE {" ".join(rf"WHEN regexp_matches(r, '^.+?\s+{w}\s+.+$') THEN '{w}'" for w in text.BUILDING_WORDS)} END AS w FROM e)
+SELECT _id, house_number, city, postcode, CASE {" ".join(rf"WHEN w = '{w}' THEN concat_ws(' ', house_number, trim(regexp_extract(r, '^(.+?\s+{w})\s+(.+)$', 1)))" for w in text.BUILDING_WORDS)} END AS house,
+  CASE {" ".join(rf"WHEN w = '{w}' THEN trim(regexp_extract(r, '^(.+?\s+{w})\s+(.+)$', 2))" for w in text.BUILDING_WORDS)} ELSE r END AS road FROM s
+"""
+
+
+@add("fn_address_parts", _PARTS)
 def fn_address_parts(spark, d):
     """Components of the associated address by rules, and a building split off its road."""
     p = _t(spark, d, "leases").select("_id", text.address_parts(text.short_address(F.col("apd"))).alias("p"))
@@ -565,17 +579,37 @@ def dml_delete_candidates(spark, d):
 def _decisions(spark, d):
     x = delta.split_changes(_deletes(spark, d))[0]
     x = x.select(F.col("change_id").alias("delete_id"), "version", *[F.col(c).alias(k) for c, k in text.FIELDS.items()])
-    l = _t(spark, d, "leases").select("_id", *delta.KEYS).dropDuplicates(["_id"])
-    return x, delta.delete_decisions(x, l)
+    return x, delta.delete_decisions(x, _leases(spark, d).select("_id", *delta.KEYS))
+
+
+def _differences(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = {b} THEN 0 ELSE len(list_filter(range(1, greatest(length({a}), length({b})) + 1), lambda i: substr({a}, i, 1) <> substr({b}, i, 1))) END"
 
 
-@add("dml_delete_ladder")
+_LADDER = f"""
+WITH {_FIRST}, {LEASES_CTE},
+x AS (SELECT change_id AS delete_id, version, {", ".join(f"coalesce(trim({c}), '') AS {k}" for c, k in text.FIELDS.items())} FROM f WHERE upper(trim(change_indicator)) = 'D'),
+l AS (SELECT _id AS lease_id, {", ".join(f"coalesce(trim(CAST({k} AS VARCHAR)), '') AS {k}" for k in text.FIELDS.values())} FROM lease),
+pair AS (SELECT delete_id, lease_id, {" + ".join(_differences(f"x.{k}", f"l.{k}") for k in text.FIELDS.values())} AS distance FROM x JOIN l ON x.uid = l.uid AND x.ro = l.ro AND x.apid = l.apid),
+seen AS (SELECT delete_id, count(DISTINCT lease_id) AS n, min(distance) AS nearest FROM pair GROUP BY 1),
+told AS (SELECT x.delete_id, version, CASE WHEN n IS NULL THEN 'unknown' WHEN n = 1 THEN 'single' WHEN nearest = 0 THEN 'exact' WHEN nearest = 1 THEN 'near' ELSE 'ambiguous' END AS decision FROM x LEFT JOIN seen USING (delete_id)),
+gone AS (SELECT DISTINCT delete_id, version, lease_id, decision FROM told LEFT JOIN pair USING (delete_id) WHERE decision = 'single' OR decision = 'exact' AND distance = 0 OR decision = 'near' AND distance = 1
+  UNION ALL SELECT delete_id, version, NULL, decision FROM told WHERE decision IN ('unknown', 'ambiguous'))
+"""
+
+
+@add("dml_delete_ladder", _LADDER + "SELECT delete_id, lease_id, decision FROM gone")
 def dml_delete_ladder(spark, d):
-    """The decision of every deletion (the ladder has no SQL form here; brute force in the tests)."""
+    """The decision of every deletion."""
     return _decisions(spark, d)[1]
 
 
-@add("dml_update_log")
+@add(
+    "dml_update_log",
+    _LADDER + """, per AS (SELECT version, count(*) FILTER (upper(trim(change_indicator)) = 'A') AS added, count(*) FILTER (coalesce(upper(trim(change_indicator)), '') NOT IN ('A', 'D')) AS skipped FROM f GROUP BY 1)
+SELECT version, added, skipped, coalesce(deleted, 0) AS deleted, coalesce(unknown, 0) AS unknown, coalesce(manual_review, 0) AS manual_review FROM per LEFT JOIN (
+  SELECT version, count(DISTINCT lease_id) AS deleted, count(*) FILTER (decision = 'unknown') AS unknown, count(*) FILTER (decision = 'ambiguous') AS manual_review FROM gone GROUP BY 1) USING (version)""",
+)
 def dml_update_log(spark, d):
     x, told = _decisions(spark, d)
     return delta.update_log(_deletes(spark, d), told.join(x.select("delete_id", "version"), "delete_id"))
