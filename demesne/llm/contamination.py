@@ -10,10 +10,12 @@ are candidates if any of these minima agree. Each candidate is verified exactly
 shingles, and the share of the item's words that stand in the document in order in at most two
 stretches.
 
-Scale. One pass over the documents without a shuffle. The items are the stated query set: they are
-taken in blocks of at most `block_items`, whose index (bands x items x 16 bytes) is broadcast, so a
-broadcast never exceeds that bound however many items there are. Items of any length need at most some
-560 bands at the standing parameters. A block is a pass over the documents.
+Scale. One pass over the documents without a shuffle. The items are the stated query set: their own
+shingles are worked out by a join, and they are taken in blocks of at most `block_items`, whose index (bands x
+items x 16 bytes) is broadcast, so neither a broadcast nor what the driver holds exceeds that bound however many
+items there are. Items of any length need at most some 560 bands at the standing parameters. A block is a pass
+over the documents. Verification is linear in the document: of stretches that cover the same words of an item, the first
+and the last are enough.
 
 Defined results. Null and empty texts and items hold nothing. An item of fewer words than a shingle is
 one shingle. Items whose shingles are all stock are matched on all their shingles. Copies of a
@@ -31,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demesne.common import cut
 from demesne.llm.text import hashed, shingles, words
 
 SHINGLE = 5
@@ -70,14 +73,17 @@ def band_keys(m: np.ndarray) -> np.ndarray:
 class ItemIndex:
     """One block of items: word hashes, own shingles and their minima in sorted order."""
 
-    def __init__(self, ids: list[int], texts: list[str | None], stock: set[int], windows: tuple[int, ...], containment: float, recall: float, most: int | None = None) -> None:
+    def __init__(self, ids: list[int], texts: list[str | None], stock: set[int], windows: tuple[int, ...], containment: float, recall: float, most: int | None = None, own_of: list[np.ndarray] | None = None) -> None:
         self.ids, self.words, self.own = [], [], []
-        for i, text in zip(ids, texts, strict=True):
+        for k, (i, text) in enumerate(zip(ids, texts, strict=True)):
             h = hashed(words(text))
             if not len(h):
                 continue
             s = np.unique(shingles(h, SHINGLE))
-            own = s[~np.isin(s, np.fromiter(stock, np.uint64, len(stock)))] if stock else s
+            if own_of is not None:
+                own = np.sort(own_of[k])
+            else:
+                own = s[~np.isin(s, np.fromiter(stock, np.uint64, len(stock)))] if stock else s
             self.ids.append(i)
             self.words.append(h)
             self.own.append(own if len(own) else s)
@@ -147,12 +153,16 @@ def stretches(item: np.ndarray, doc: np.ndarray, seed: int = 3, drift: int = 3,
 def coverage(runs: list[tuple[int, int, int, int]]) -> tuple[int, int]:
     """(words, stretches): the most item words in one or two stretches that follow one another in both texts."""
     best = (0, 0)
-    for a in runs:
-        best = max(best, (a[1] - a[0], -1))
-    for a in runs:
-        for b in runs:
-            if a[0] < b[0] and a[1] <= b[0] + 2 and a[3] <= b[2] + 2:
-                best = max(best, (b[1] - max(b[0], a[1]) + a[1] - a[0], -2))
+    ends: dict[tuple[int, int], int] = {}  # part of the item: where its first stretch ends
+    begins: dict[tuple[int, int], int] = {}  # where its last stretch begins
+    for p0, p1, q0, q1 in runs:
+        best = max(best, (p1 - p0, -1))
+        ends[p0, p1] = min(q1, ends.get((p0, p1), q1))
+        begins[p0, p1] = max(q0, begins.get((p0, p1), q0))
+    for (a0, a1), end in ends.items():
+        for (b0, b1), begin in begins.items():
+            if a0 < b0 and a1 <= b0 + 2 and end <= begin + 2:
+                best = max(best, (b1 - max(b0, a1) + a1 - a0, -2))
     return best[0], -best[1]
 
 
@@ -226,16 +236,19 @@ def leaked_items(documents: DataFrame, items: DataFrame, containment: float = 0.
 
     def item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            s = [np.unique(shingles(hashed(words(t)), SHINGLE)) for t in b["text"]]
-            yield pd.DataFrame({"s": np.concatenate(s).astype(np.int64) if s else np.empty(0, np.int64)})
-
-    stock = asked.mapInPandas(item_shingles, "s long").groupBy("s").count().filter(F.col("count") > stock_items)
+            s = [np.unique(shingles(hashed(words(t)), SHINGLE)).view(np.int64) for t in b["text"]]
+            yield pd.DataFrame({"row": np.repeat(b["row"].to_numpy(np.int64), [len(x) for x in s]), "s": np.concatenate(s) if s else np.empty(0, np.int64)})
+
+    rows = cut(asked.withColumns({"row": F.monotonically_increasing_id(), "block": F.pmod(F.xxhash64("item_id"), F.lit(blocks))}))
+    pairs = rows.select("row", "text").mapInPandas(item_shingles, "row long, s long")
+    rare = pairs.groupBy("s").count().filter(F.col("count") <= stock_items).select("s")
+    own = pairs.join(rare, "s").groupBy("row").agg(F.collect_list("s").alias("own"))  # an item's shingles, no more
+    rows = cut(rows.join(own, "row", "left"))
     found = []
     for k in range(blocks):
-        rows = asked.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).toPandas()
-        here = {int(x) for t in rows["text"] for x in np.unique(shingles(hashed(words(t)), SHINGLE)).astype(np.int64)}
-        common = {int(np.uint64(np.int64(r["s"]).view(np.uint64))) for r in stock.toLocalIterator() if r["s"] in here}
-        index = ItemIndex(rows["item_id"].tolist(), rows["text"].tolist(), common, (window // 4, window // 2, window), containment / 2, recall, bands)
+        here = rows.filter(F.col("block") == k).toPandas().sort_values(["item_id", "row"])
+        owned = [np.array(x if x is not None else [], np.int64).view(np.uint64) for x in here["own"]]
+        index = ItemIndex(here["item_id"].tolist(), here["text"].tolist(), set(), (window // 4, window // 2, window), containment / 2, recall, bands, owned)
         find = _search(spark.sparkContext.broadcast(index), window, containment, covered, slice_words)
         found.append(docs.mapInPandas(find, "item_id long, doc_id long, containment double, covered double, n_stretches int"))
     return reduce(DataFrame.unionAll, found)

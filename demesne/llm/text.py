@@ -8,7 +8,8 @@ import re
 import numpy as np
 import pandas as pd
 
-_TAG = re.compile(r"<[^<>\n]{1,200}>")
+#: A tag of any length: a name or ! after the bracket, closed on the same line.
+_TAG = re.compile(r"</?[A-Za-z!][^<>\n]*>")
 _WORD = re.compile(r"[^\W_]+")
 _SOFT = re.compile("­|​|﻿|-\n[>\\s]*(?=[a-z])")
 

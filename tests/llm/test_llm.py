@@ -195,6 +195,17 @@ def test_search_meets_exact_containment(spark, sf):
     assert got == want
 
 
+def test_coverage_against_all_pairs():
+    rnd = random.Random(6)
+    for _ in range(300):
+        runs = []
+        for _ in range(rnd.randrange(1, 9)):
+            p, q, n = rnd.randrange(30), rnd.randrange(60), rnd.randrange(3, 12)
+            runs.append((p, p + n, q, q + n))
+        want = max([(r[1] - r[0], -1) for r in runs] + [(b[1] - max(b[0], a[1]) + a[1] - a[0], -2) for a in runs for b in runs if a[0] < b[0] and a[1] <= b[0] + 2 and a[3] <= b[2] + 2])
+        assert contamination.coverage(runs) == (want[0], -want[1])
+
+
 def test_short_items_beside_a_long_one_are_met():
     """The recall holds for every item of a block: short items are not searched with the few bands of a long one."""
     rnd = np.random.default_rng(7)
