@@ -287,16 +287,42 @@ def near_positions(places: DataFrame, radius_m: float, parts: int | None = None,
     return _sorted_parts(both).mapInPandas(_near(radius_m, slice_rows), "lon_a double, lat_a double, lon_b double, lat_b double")
 
 
-def near_pairs(records: DataFrame, radius_m: float, id_column: str = "_id", where: Column | None = None) -> DataFrame:
-    """(id_a, id_b), distinct, id_a < id_b: records at most radius_m apart."""
+def near_places(records: DataFrame, radius_m: float, id_column: str = "_id", where: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The class form of nearness: (id, lon, lat) of each record, and (lon_a, lat_a, lon_b, lat_b) of each two positions near each other.
+
+    Records at one position are a class; no pair of records is made, however many share a position.
+    """
+    members = coded_positions(records, where, id_column)
+    places = cut(members.groupBy("lon", "lat").agg(F.count("*").alias("n")))
+    return members.select("id", "lon", "lat"), near_positions(places.select("lon", "lat"), radius_m)
+
+
+def near_pairs(records: DataFrame, radius_m: float, id_column: str = "_id", where: Column | None = None, block: int = 2_000, most_hot: int = 100_000) -> DataFrame:
+    """(id_a, id_b), distinct, id_a < id_b: records at most radius_m apart.
+
+    Records at a position with more than `block` are dealt into blocks, and blocks are paired with blocks: no task
+    expands more than block x block pairs of one position at once.
+    """
     members = coded_positions(records, where, id_column)
-    places = cut(members.select("lon", "lat").distinct())
-    found = near_positions(places, radius_m)
+    places = cut(members.groupBy("lon", "lat").agg(F.count("*").alias("n")))
+    found = near_positions(places.select("lon", "lat"), radius_m)
     same = places.select(F.col("lon").alias("lon_a"), F.col("lat").alias("lat_a"), F.col("lon").alias("lon_b"), F.col("lat").alias("lat_b"))
     pairs = same.unionAll(found)
-    a = members.select(F.col("id").alias("a"), F.col("lon").alias("lon_a"), F.col("lat").alias("lat_a"))
-    b = members.select(F.col("id").alias("b"), F.col("lon").alias("lon_b"), F.col("lat").alias("lat_b"))
-    joined = pairs.join(a, ["lon_a", "lat_a"]).join(b, ["lon_b", "lat_b"])
+    keyed = members.select("id", "lon", "lat")
+    hot = places.filter(F.col("n") > block).select("lon", "lat", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    n_hot = hot.limit(most_hot + 1).count()
+    on_a, on_b = ["lon_a", "lat_a"], ["lon_b", "lat_b"]
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= most_hot else hot
+        blocks = F.coalesce("blocks", F.lit(1))
+        keyed = keyed.join(hot, ["lon", "lat"], "left").select("id", "lon", "lat", F.pmod(F.xxhash64("id"), blocks).alias("block"))
+        for x, on in (("a", on_a), ("b", on_b)):
+            pairs = pairs.join(hot.select(F.col("lon").alias(on[0]), F.col("lat").alias(on[1]), "blocks"), on, "left")
+            pairs = pairs.withColumn(f"block_{x}", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long")))).drop("blocks")
+        on_a, on_b = [*on_a, "block_a"], [*on_b, "block_b"]
+    a = keyed.select(F.col("id").alias("a"), *[F.col(c[:-2]).alias(c) for c in on_a])
+    b = keyed.select(F.col("id").alias("b"), *[F.col(c[:-2]).alias(c) for c in on_b])
+    joined = pairs.join(a, on_a).join(b, on_b)
     own = (F.col("lon_a") == F.col("lon_b")) & (F.col("lat_a") == F.col("lat_b"))
     kept = joined.filter((F.col("a") != F.col("b")) & (~own | (F.col("a") < F.col("b"))))
     return kept.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()

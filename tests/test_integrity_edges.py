@@ -209,3 +209,15 @@ def test_cross_fitted_auc_against_brute_force(spark):
 @pytest.mark.parametrize("text,want", [("007", "7"), ("2.0", "2"), ("000", "0"), (" 12X ", "12X"), ("2.5", "2.5"), (None, ""), ("", ""), ("-03", "-3")])
 def test_plain_number(spark, text, want):
     assert spark.createDataFrame([(text,)], "s string").select(changefeed.plain_number(F.col("s"))).first()[0] == want
+
+
+def test_hot_positions_are_dealt_into_blocks(spark):
+    """Twenty records at one position, some at others: the pairs are the same however small the blocks."""
+    rows = [(f"h{i:02}", -1.5, 51.5) for i in range(20)] + [("n1", -1.5001, 51.5), ("n2", -1.5001, 51.5), ("far", -1.6, 51.5), ("h00", -1.5, 51.5)]
+    df = spark.createDataFrame(rows, "_id string, lon double, lat double").withColumn("loc", F.lit(None).cast("struct<type:string,coordinates:array<double>>"))
+    want = {(a, b) for a in {r[0] for r in rows} for b in {r[0] for r in rows} if a < b and "far" not in (a, b)}
+    for block in (2_000, 7, 1):
+        assert {tuple(r) for r in spatial.near_pairs(df, 20.0, block=block).collect()} == want
+    assert {tuple(r) for r in spatial.near_pairs(df, 20.0, block=7, most_hot=0).collect()} == want
+    members, pairs = spatial.near_places(df, 20.0)
+    assert members.distinct().count() == 23 and pairs.count() == 2
