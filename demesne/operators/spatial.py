@@ -288,7 +288,7 @@ def near_positions(places: DataFrame, radius_m: float, parts: int | None = None,
 
 
 def near_places(records: DataFrame, radius_m: float, id_column: str = "_id", where: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """The class form of nearness: (id, lon, lat) of each record, and (lon_a, lat_a, lon_b, lat_b) of each two positions near each other.
+    """The class form of nearness: (id, lon, lat) of each record, and (lon_a, lat_a, lon_b, lat_b) of each two positions near each other, once.
 
     Records at one position are a class; no pair of records is made, however many share a position.
     """
