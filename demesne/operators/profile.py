@@ -17,8 +17,11 @@ advance together: each step is one distributed pass that leaves the gradients an
 whose number of figures follows from bins, loads and columns, not from the data. AUCs come from histograms
 of the scores, one more pass. Nothing else goes to the driver, however many combinations there are.
 
-A relative finding (nulls, top, median) must be seen by both sides: the classifier tells the load by the column
-and the exact figure differs from the usual, the median over the loads. A change that only the classifier
+A relative finding (nulls, top, median) must hold on both sides. The exact figure differs from the usual, the
+median over the loads; and the classifier does not rule the shift out: if a share differs by d from the other loads,
+the best classifier has an AUC of 0.5 + d/2 or more, so a finding falls if the AUC, its sampling error allowed for,
+stays below half of that way. In small loads the error is wide and the exact figure speaks alone; in large ones the
+classifier must see the shift. A change that only the classifier
 sees (the shape of a column, at the same median and shares) is in the profile as `changed`. Findings about
 absolute limits (range, pattern) concern values, not a change, and need the exact figure alone.
 
@@ -181,15 +184,16 @@ def _auc(positive: np.ndarray, negative: np.ndarray) -> np.ndarray:
 
 
 def two_sample_test(df: DataFrame, load: Column, record: Column, rules: list[ColumnRule], counts: DataFrame, folds: int = 2, n_bins: int = 10, steps: int = 8, grid: int = 2_000, level: float = 0.01) -> DataFrame:
-    """(version, column_name, auc_full, auc_without, auc_alone, auc_error, changed): cross-fitted discrimination of each load.
+    """(version, column_name, auc_full, auc_without, auc_alone, auc_error, auc_high, changed): cross-fitted discrimination of each load.
 
-    auc_error is the standard error of an AUC where there is no difference.
+    auc_error is the standard error of an AUC where there is no difference; auc_high is the most that auc_alone
+    may stand for at the level of the test.
     """
     spark = df.sparkSession
-    schema = "version string, column_name string, auc_full double, auc_without double, auc_alone double, auc_error double, changed boolean"
+    schema = "version string, column_name string, auc_full double, auc_without double, auc_alone double, auc_error double, auc_high double, changed boolean"
     loads = sorted(r[0] for r in counts.select("version").distinct().collect())
     if len(loads) < 2:
-        return spark.createDataFrame([(v, r.name, 0.5, 0.5, 0.5, None, False) for v in loads for r in rules], schema)
+        return spark.createDataFrame([(v, r.name, 0.5, 0.5, 0.5, None, 0.5, False) for v in loads for r in rules], schema)
     bins = _bins(df, counts, rules, n_bins)
     names, sizes, n, every = [f"b{i}" for i in range(len(bins))], [size for _, _, size in bins], len(loads), tuple(range(len(bins)))
     rows = df.select(load.alias("version"), *[b.cast("int").alias(x) for x, (_, b, _) in zip(names, bins, strict=True)], record.alias("_record")).filter(F.col("version").isNotNull())
@@ -295,7 +299,7 @@ def two_sample_test(df: DataFrame, load: Column, record: Column, rules: list[Col
             full, without = float(auc[0, i]), float(auc[0, i] - drop[i])
             # the two models err alike, so the error of a drop is at most that of two independent ones
             changed = alone[c, i] - usual > far * error[i] or drop[i] - usual_drop > far * math.sqrt(2) * error[i]
-            out.append((v, rule.name, full, without, float(alone[c, i]), float(error[i]), bool(changed)))
+            out.append((v, rule.name, full, without, float(alone[c, i]), float(error[i]), float(alone[c, i] + far * error[i]), bool(changed)))
     return spark.createDataFrame(out, schema)
 
 
@@ -315,12 +319,12 @@ def profile_loads(df: DataFrame, load: Column, record: Column, rules: list[Colum
     def per_rule(value) -> Column:
         return reduce(lambda a, r: F.when(name == r.name, F.lit(value(r))).otherwise(a), rules, F.lit(None).cast("double"))
 
-    changed = F.col("changed")
+    seen = lambda shift: F.col("auc_high") >= 0.5 + per_rule(shift) / 4
     differs = lambda c, limit: F.abs(F.col(c) - F.col(f"usual_{c}")) > per_rule(limit)
     findings = {
-        "nulls": changed & differs("null_share", lambda r: r.null_shift),
-        "top": changed & differs("top_share", lambda r: r.top_shift),
-        "median": changed & differs("median", lambda r: r.median_shift),
+        "nulls": seen(lambda r: r.null_shift) & differs("null_share", lambda r: r.null_shift),
+        "top": seen(lambda r: r.top_shift) & differs("top_share", lambda r: r.top_shift),
+        "median": (F.col("auc_high") >= 0.5) & differs("median", lambda r: r.median_shift),
         "range": F.col("outside_share") > per_rule(lambda r: r.max_outside),
         "pattern": F.col("violating_share") > per_rule(lambda r: r.max_violating),
     }
