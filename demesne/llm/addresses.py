@@ -13,8 +13,8 @@ alone decide: the most probable premises of an address are taken if their probab
 
 Scale. Addresses are linked once per distinct spelling, so copies cost nothing. One shuffle joins the
 block keys; both sides carry their parsed components, so nothing is looked up again. A key with more
-than `max_block` premises (at most premises / max_block keys, which bounds the broadcast that marks
-them) is salted: its premises are dealt over parts of about `max_block`, its addresses go to every part.
+than `max_block` premises (or so many more that no more than `most_hot` keys have them, which bounds the broadcast
+that marks them) is salted: its premises are dealt over parts of about `max_block`, its addresses go to every part.
 So every pair of a block is compared, however full it is, and no task holds a hot block alone. EM runs on the pattern counts, whose number is bounded by the levels, not by the data.
 
 Defined results. A row without any address has no match; one of two address fields may be null or
@@ -454,7 +454,7 @@ def _compare_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["akey", "uprn", "pattern"])
 
 
-def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_block: int = 2_000, probability: float = 0.01) -> DataFrame:
+def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_block: int = 2_000, probability: float = 0.01, most_hot: int = 20_000) -> DataFrame:
     """(lease_id, uprn, pattern, weight): the premises each address denotes; weight is the log odds of a match.
 
     `probability` is low because it is a pair's, before it is known that the address has no better premises.
@@ -466,7 +466,8 @@ def link(leases: DataFrame, gazetteer: DataFrame, id_column: str = "_id", max_bl
     g = cut(_parsed_premises(gazetteer))
     parts = ["flat", "num", "building", "street", "town", "locality", "code"]
     keyed = g.select("uprn", *parts, F.explode("keys").alias("key"))
-    # at most |keyed| / max_block keys can be that full, which bounds this broadcast
+    # no more than `most_hot` keys can be that full, which bounds this broadcast; a premises has a dozen keys at most
+    max_block = max(max_block, math.ceil(12 * g.count() / most_hot))
     hot = F.broadcast(keyed.groupBy("key").count().filter(F.col("count") > max_block).select("key", F.ceil(F.col("count") / max_block).cast("int").alias("salts")))
     salts = F.coalesce("salts", F.lit(1))
 
