@@ -23,6 +23,9 @@ def expanded(gazetteer: DataFrame, id_column: str = "id") -> DataFrame:
 def unique_uprn(gazetteer: DataFrame) -> DataFrame:
     """One entry per uprn, the later one (with the highest id)."""
     g = gazetteer.filter("uprn IS NOT NULL")
+    rest = [c for c in g.columns if c not in ("uprn", "id")]
+    if not rest:
+        return g.groupBy("uprn").agg(F.max("id").alias("id"))
     return g.groupBy("uprn").agg(F.max_by(F.struct(*g.columns), "id").alias("_g")).select("_g.*")
 
 
@@ -46,7 +49,7 @@ def matches(requests: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """
     g = gazetteer.select(F.col("id").alias("gazetteer_id"), F.col("uprn").alias("g_uprn"), "building_number", "building_name", F.upper("thoroughfare").alias("g_road"), F.upper("postcode").alias("g_pc"), F.upper("post_town").alias("g_town"))
     r = requests.select("request_id", "uprn", "house_number", base_number(F.col("house_number")).alias("base"), F.upper("road").alias("road"), F.upper("postcode").alias("pc"), F.upper("city").alias("city"))
-    by_uprn = r.join(unique_uprn(gazetteer).select("uprn", F.col("id").alias("gazetteer_id")), "uprn").select("request_id", F.lit(1).alias("stage"), "gazetteer_id", F.col("uprn").alias("g_uprn"), F.lit(1).alias("priority"))
+    by_uprn = r.join(unique_uprn(gazetteer.select("uprn", "id")).select("uprn", F.col("id").alias("gazetteer_id")), "uprn").select("request_id", F.lit(1).alias("stage"), "gazetteer_id", F.col("uprn").alias("g_uprn"), F.lit(1).alias("priority"))
     rank = match_priority(F.col("house_number"), F.col("base"), F.col("building_number"), F.col("building_name"))
 
     def stage(number: int, mine: str, theirs: str) -> DataFrame:

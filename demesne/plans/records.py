@@ -19,8 +19,7 @@ def ref() -> Column:
 
 def first_delivery(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
     """The row of each key that was delivered first, whole; equal times are told apart by the columns in order."""
-    row = F.struct(*columns)
-    return df.groupBy(key).agg(F.min_by(row, F.struct("loaded_at", *columns)).alias("_row")).select(key, "_row.*")
+    return df.groupBy(key).agg(F.min(F.struct("loaded_at", *columns)).alias("_row")).select(key, *[f"_row.{c}" for c in columns])
 
 
 def _first_sql(name: str, table_name: str, columns: tuple[str, ...]) -> str:

@@ -118,7 +118,7 @@ def proj_version(spark, d):
 
 @add("join_uprn", "WITH g AS (SELECT uprn, max(id) AS gid FROM ab_plus GROUP BY 1) SELECT DISTINCT l._id AS lease_id, g.gid FROM leases l JOIN g USING (uprn)")
 def join_uprn(spark, d):
-    g = match.unique_uprn(_t(spark, d, "ab_plus")).select("uprn", F.col("id").alias("gid"))
+    g = match.unique_uprn(_t(spark, d, "ab_plus").select("uprn", "id")).select("uprn", F.col("id").alias("gid"))
     return _t(spark, d, "leases").join(g, "uprn").select(F.col("_id").alias("lease_id"), "gid").distinct()
 
 
